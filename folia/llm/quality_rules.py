@@ -147,7 +147,7 @@ r AS (SELECT doc_id, count(DISTINCT i + k)::BIGINT AS n FROM g, (SELECT unnest(r
 x AS (
   SELECT m.*, coalesce(r.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
     length(t) - length(regexp_replace(t, '\p{Lu}+', '', 'g')) AS n_upper,
-    len(list_filter(words, lambda w: list_contains([{stop}], w))) AS n_stop,
+    len(list_filter(words, lambda w: w IN ({stop}))) AS n_stop,
     len(list_filter(lines, lambda l: regexp_matches(l, '^ *[-*•]'))) AS n_bullets
   FROM m LEFT JOIN r USING (doc_id)),
 y AS (
