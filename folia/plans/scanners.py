@@ -1,5 +1,38 @@
-"""Queries over the stateful scanners, registered by name; SQL can't express these."""
+"""Queries over the stateful scanners; SQL can't express these, tests hold them to fixtures."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from folia.functions import text as T
+from folia.operators import parse, repair, tex
+
+
+def html_blocks(spark, sf_dir) -> DataFrame:
+    """Blocks of each page with their type."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return parse.parse(pages, "page_id", "html").withColumn("type", T.block_type(F.col("tag"), F.col("css")))
+
+
+def repaired_math(spark, sf_dir) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.select("doc_id", repair.repaired_delimiters(F.col("text")).alias("d")).select("doc_id", F.md5("d.text").alias("text_md5"), F.size("d.log").alias("n_repairs"))
+
+
+def wrapped_math(spark, sf_dir) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.select("doc_id", repair.wrapped_math(F.col("text")).alias("d")).select("doc_id", F.md5("d.text").alias("text_md5"), F.size("d.log").alias("n_wrapped"))
+
+
+def tex_events(spark, sf_dir) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return tex.event_rows(docs, "doc_id", "text")
+
+
+def title_slugs(spark, sf_dir) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", tex.slugs(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("slug"))
+
+
+QUERIES = {f.__name__: f for f in (html_blocks, repaired_math, wrapped_math, tex_events, title_slugs)}
