@@ -4,13 +4,14 @@ A document's set of five-word shingles is hashed once; the smallest hash in
 each of 256 bins is its signature, empty bins filled by optimal densification
 (each empty bin tries bins in an order of its own until one holds a value).
 Documents with equal sets are one class. Classes that agree on a band of the
-signature share a bucket; each bucket links its members to two centres only,
-the member whose buckets are the fullest and one by hash, so the number of
-candidate pairs stays linear. Candidates are confirmed on full sets, and
-components found by star contraction. In buckets that still hold several
-components, pairs from different components are compared by whole signatures
-in blocks, the likely ones confirmed as well, so that no link depends on the
-choice of centres.
+signature share a bucket; each bucket links its members to one centre only, the member
+whose buckets are the fullest, so the number of candidate pairs stays linear.
+Candidates are confirmed on full sets, and components found by star
+contraction. In buckets that still hold several components, members of
+different components are compared by whole signatures in blocks: first each
+one's few likeliest partners are confirmed, then, where components still meet
+in a bucket, all that signatures allow, so that no link depends on the choice
+of centres.
 
 Null or empty text: empty set, own component. Null id: linked with nothing,
 component null, kept. Rows with one id are one document. Fewer than five
@@ -30,10 +31,12 @@ from folia.llm.hashing import mix, sequences, word_hashes
 
 WORDS, BINS, ROWS = 5, 256, 5
 BANDS = BINS // ROWS
-#: Percent of similarity that links, and share of equal signature bytes below which a pair can't be linked (more than six standard deviations off).
-LINK, LEAST_EQUAL = 75, 0.58
+#: Percent of similarity that links, and share of equal signature bytes below which a pair can't be linked (more than five standard deviations off).
+LINK, LEAST_EQUAL = 75, 0.61
 #: Tries of the densification before an empty bin takes the next full one; classes in a block of a bucket's comparison.
 TRIES, BLOCK = 96, 512
+#: Partners that a member names in each other component and block at first.
+FIRST_PARTNERS = 3
 SLICE_BYTES = 4 << 20
 
 _TRY = (mix(np.arange(BINS * TRIES, dtype=np.uint64) + np.uint64(77)) % np.uint64(BINS)).astype(np.int64).reshape(BINS, TRIES)
@@ -180,10 +183,10 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     return now.groupBy(F.col("u").alias("vertex")).agg(F.min("v").alias("component"))
 
 
-def across(members: DataFrame) -> DataFrame:
+def across(members: DataFrame, most: int | None) -> DataFrame:
     """Pairs of one bucket and different components that signatures allow, from rows (key, m, rep, component, n, low); m is the bucket's size.
 
-    A bucket is cut into blocks of about BLOCK classes, and each two blocks meet in a task of their own; only pairs that pass leave it."""
+    A bucket is cut into blocks of about BLOCK classes, and each two blocks meet in a task of their own; only pairs that pass leave it, with `most` only each member's likeliest partners in each other component."""
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     own = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
@@ -200,7 +203,13 @@ def across(members: DataFrame) -> DataFrame:
             if i == j:
                 y = y[y > x]
             y = y[(100 * np.minimum(n[y], n[x]) >= LINK * np.maximum(n[y], n[x]))]
-            y = y[(low[y] == low[x]).sum(axis=1) >= LEAST_EQUAL * BINS] if len(y) else y
+            equal = (low[y] == low[x]).sum(axis=1)
+            y, equal = y[equal >= LEAST_EQUAL * BINS], equal[equal >= LEAST_EQUAL * BINS]
+            if most is not None and len(y) > most:
+                order = np.lexsort((rep[y], -equal, component[y]))
+                whose = component[y[order]]
+                place = np.arange(len(order)) - np.searchsorted(whose, whose)
+                y = y[order[place < most]]
             a += [rep[x]] * len(y)
             b += rep[y].tolist()
         return pa.table({"a": pa.array(np.minimum(a, b).astype(np.int64)), "b": pa.array(np.maximum(a, b).astype(np.int64))})
@@ -218,28 +227,28 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     full = banded.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     buckets = written(banded.join(full, "key"), "buckets")
     weight = buckets.groupBy("rep").agg(F.sum(F.log2("m")).alias("weight"))
-    centre = buckets.join(weight, "rep").groupBy("key").agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("c1"), F.min_by("rep", F.xxhash64("rep", "key")).alias("c2"))
-    star = buckets.join(centre, "key").select("rep", F.explode(F.array("c1", "c2")).alias("c")).where(F.col("rep") != F.col("c"))
+    centre = buckets.join(weight, "rep").groupBy("key").agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("c"))
+    star = buckets.join(centre, "key").where(F.col("rep") != F.col("c"))
     star = star.select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
     candidates = written(likely(star, nodes), "candidates")
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        return written(full_sets(rows.join(wanted, "id")).distinct(), "sets")
-
-    sets = sets_of(candidates)
-    links = written(confirmed(candidates, sets), "links")
+    wanted = buckets.select(F.col("rep").alias("id")).distinct()
+    # the same join at any size, so that its shuffle grows as the input does; rows of one id meet here and are merged
+    texts = rows.join(wanted.hint("merge"), "id").dropDuplicates(["id", "text"])
+    sets = written(full_sets(texts), "sets")
+    tried, links = candidates, written(confirmed(candidates, sets), "links")
     parts = written(components(links), "parts")
-    dropped(sets)
-    placed = buckets.join(parts.withColumnRenamed("vertex", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    rest = placed.join(mixed, "key").join(nodes.select("rep", "n", "low"), "rep")
-    more = written(across(rest).join(candidates, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        sets = sets_of(more)
-        links = links.unionByName(confirmed(more, sets))
+    for most in (FIRST_PARTNERS, None):
+        placed = buckets.join(parts.withColumnRenamed("vertex", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+        rest = placed.join(mixed, "key").join(nodes.select("rep", "n", "low"), "rep")
+        more = written(across(rest, most).join(tried, ["a", "b"], "left_anti"), "more")
+        if more.isEmpty():
+            break
+        tried = tried.unionByName(more)
+        links = written(links.unionByName(confirmed(more, sets)), "links")
         parts = written(components(links), "parts")
-        dropped(sets)
+    dropped(sets)
     by_digest = nodes.join(parts.withColumnRenamed("vertex", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     found = sketched.select("id", "n", F.when(F.col("id").isNotNull(), F.col("digest")).alias("digest")).join(by_digest, "digest", "left")
     component = F.coalesce("component", "id")
