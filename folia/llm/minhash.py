@@ -35,8 +35,8 @@ BANDS = BINS // ROWS
 LINK, LEAST_EQUAL = 75, 0.61
 #: Tries of the densification before an empty bin takes the next full one; classes in a block of a bucket's comparison.
 TRIES, BLOCK = 96, 512
-#: Partners that a member names in each other component and block at first.
-FIRST_PARTNERS = 3
+#: Partners that a member names in each bucket at first, and then.
+PARTNERS = (2, 8)
 SLICE_BYTES = 4 << 20
 
 _TRY = (mix(np.arange(BINS * TRIES, dtype=np.uint64) + np.uint64(77)) % np.uint64(BINS)).astype(np.int64).reshape(BINS, TRIES)
@@ -186,16 +186,17 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
 def across(members: DataFrame, most: int | None) -> DataFrame:
     """Pairs of one bucket and different components that signatures allow, from rows (key, m, rep, component, n, low); m is the bucket's size.
 
-    A bucket is cut into blocks of about BLOCK classes, and each two blocks meet in a task of their own; only pairs that pass leave it, with `most` only each member's likeliest partners in each other component."""
+    A bucket is cut into blocks of about BLOCK classes, and each two blocks meet in a task of their own; only pairs that pass leave it, with `most` only each member's likeliest partners. A pair leaves only the bucket of the first band that it shares."""
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     own = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    own = own.select("*", other).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component", "n", "low")
+    own = own.select("*", other).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component", "n", "low", "keys")
 
     def compare(key, group):
-        _, i, j = (x.as_py() for x in key)
+        bucket, i, j = (x.as_py() for x in key)
         block, rep, component, n = (group.column(c).to_numpy() for c in ("block", "rep", "component", "n"))
         low = np.frombuffer(b"".join(group.column("low").to_pylist()), np.uint8).reshape(-1, BINS)
+        keys = np.array(group.column("keys").to_pylist(), np.int64)
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         a, b = [], []
         for x in left.tolist():
@@ -205,11 +206,12 @@ def across(members: DataFrame, most: int | None) -> DataFrame:
             y = y[(100 * np.minimum(n[y], n[x]) >= LINK * np.maximum(n[y], n[x]))]
             equal = (low[y] == low[x]).sum(axis=1)
             y, equal = y[equal >= LEAST_EQUAL * BINS], equal[equal >= LEAST_EQUAL * BINS]
+            if len(y):
+                shared = keys[y] == keys[x]
+                here = keys[x][shared.argmax(axis=1)] == bucket
+                y, equal = y[here], equal[here]
             if most is not None and len(y) > most:
-                order = np.lexsort((rep[y], -equal, component[y]))
-                whose = component[y[order]]
-                place = np.arange(len(order)) - np.searchsorted(whose, whose)
-                y = y[order[place < most]]
+                y = y[np.lexsort((rep[y], -equal))[:most]]
             a += [rep[x]] * len(y)
             b += rep[y].tolist()
         return pa.table({"a": pa.array(np.minimum(a, b).astype(np.int64)), "b": pa.array(np.maximum(a, b).astype(np.int64))})
@@ -238,13 +240,13 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     sets = written(full_sets(texts), "sets")
     tried, links = candidates, written(confirmed(candidates, sets), "links")
     parts = written(components(links), "parts")
-    for most in (FIRST_PARTNERS, None):
+    for most in (*PARTNERS, None):
         placed = buckets.join(parts.withColumnRenamed("vertex", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        rest = placed.join(mixed, "key").join(nodes.select("rep", "n", "low"), "rep")
+        rest = placed.join(mixed, "key").join(nodes.select("rep", "n", "low", "keys"), "rep")
         more = written(across(rest, most).join(tried, ["a", "b"], "left_anti"), "more")
         if more.isEmpty():
-            break
+            continue
         tried = tried.unionByName(more)
         links = written(links.unionByName(confirmed(more, sets)), "links")
         parts = written(components(links), "parts")
