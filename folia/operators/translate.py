@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable
 
@@ -39,3 +40,33 @@ def translated(fragments: DataFrame, cache: DataFrame, engine, **options) -> tup
     wanted = fragments.where(F.trim("src") != "").select("src").distinct().join(cache.select("src"), "src", "left_anti")
     grown = cache.unionByName(asked(wanted, engine, **options).where(F.col("dst").isNotNull()))
     return fragments.join(grown, "src", "left").withColumn("dst", F.when(F.trim("src") == "", F.col("src")).otherwise(F.col("dst"))), grown
+
+
+def chunks(text: str, size: Callable[[str], int], most: int = 450) -> list[str]:
+    """A text in pieces of at most `most` tokens as `size` counts them: whole sentences while they fit, words of a sentence that is too long; a word that is too long stands alone."""
+    out: list[str] = []
+    held = ""
+    for sentence in re.split(r"(?<=[.!?;:])\s+", text):
+        if size(longer := f"{held} {sentence}".strip()) <= most:
+            held = longer
+            continue
+        if held:
+            out.append(held)
+        held = ""
+        for word in sentence.split():
+            if held and size(f"{held} {word}") > most:
+                out.append(held)
+                held = word
+            else:
+                held = f"{held} {word}".strip()
+    return [*out, held] if held else out
+
+
+def chunked(texts: DataFrame, size: Callable[[str], int], most: int = 450) -> DataFrame:
+    """(key, piece, src) for rows (key, src), to be asked piece by piece; null and blank texts have no piece."""
+
+    @F.pandas_udf("array<string>")
+    def run(column: pd.Series) -> pd.Series:
+        return column.map(lambda t: chunks(t, size, most) if t else [])
+
+    return texts.select("key", F.posexplode(run("src")).alias("piece", "src"))
