@@ -8,10 +8,10 @@ signature share a bucket; each bucket links its members to one centre only, the
 whose buckets are the fullest, so the number of candidate pairs stays linear.
 Candidates are confirmed on full sets, and components found by star
 contraction. In buckets that still hold several components, members of
-different components are compared by whole signatures in blocks: first each
-one's few likeliest partners are confirmed, then, where components still meet
-in a bucket, all that signatures allow, so that no link depends on the choice
-of centres.
+different components are compared in blocks by whole signatures and then by
+the smallest hashes of their sets (sets of up to FEW shingles: exactly): first
+each one's few likeliest partners are confirmed, then, if some had more, all
+of them, so that no link depends on the choice of centres.
 
 Null or empty text: empty set, own component. Null id: linked with nothing,
 component null, kept. Rows with one id are one document. Fewer than five
@@ -35,8 +35,10 @@ BANDS = BINS // ROWS
 LINK, LEAST_EQUAL = 75, 0.61
 #: Tries of the densification before an empty bin takes the next full one; classes in a block of a bucket's comparison.
 TRIES, BLOCK = 96, 512
-#: Partners that a member names in each bucket at first, and then.
-PARTNERS = (2, 8)
+#: Partners that a member names in each bucket at first.
+PARTNERS = 8
+#: So many of the smallest hashes stand for a larger set, and share of them in common below which a pair can't be linked (more than five standard deviations off).
+FEW, LEAST_COMMON = 256, 0.61
 SLICE_BYTES = 4 << 20
 
 _TRY = (mix(np.arange(BINS * TRIES, dtype=np.uint64) + np.uint64(77)) % np.uint64(BINS)).astype(np.int64).reshape(BINS, TRIES)
@@ -112,16 +114,16 @@ def sketches(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
-    """(id, set) for rows (id, text)."""
+    """(id, few, set) for rows (id, text); few has the upper halves of the FEW smallest hashes."""
 
     def run(batches):
         for batch in batches:
             data, offsets = text_buffers(batch.column(1))
             for i, j in slices(offsets, SLICE_BYTES):
                 sets = shingle_sets(data, offsets[i : j + 1])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "set"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([(s[:FEW] >> np.uint64(32)).astype(np.uint32).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "few", "set"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, set binary")
+    return docs.select("id", "text").mapInArrow(run, "id long, few binary, set binary")
 
 
 def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -141,6 +143,7 @@ def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that are linked by their full sets."""
+    sets = sets.select("id", "set")
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
 
     def run(batches):
@@ -183,40 +186,59 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     return now.groupBy(F.col("u").alias("vertex")).agg(F.min("v").alias("component"))
 
 
+def common_share(own: np.ndarray, size: int, others: list[np.ndarray], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Jaccard similarity of one set to others by their FEW smallest hashes, and whether it allows a link. Of two sets within FEW nothing is left out; else the hashes up to the smaller of the last ones are a sample of the union."""
+    every, lengths = np.concatenate(others), np.array([len(o) for o in others])
+    starts = np.cumsum(lengths) - lengths
+    top = np.where(sizes > FEW, every[starts + lengths - 1], np.uint32(0xFFFFFFFF))
+    if size > FEW:
+        top = np.minimum(top, own[-1])
+    inside = every <= np.repeat(top, lengths)
+    hit = inside & (own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every)
+    common = np.add.reduceat(hit, starts, dtype=np.int64)
+    union = np.searchsorted(own, top, "right") + np.add.reduceat(inside, starts, dtype=np.int64) - common
+    whole = (sizes <= FEW) & (size <= FEW)
+    return common / union, np.where(whole, 100 * common >= LINK * union, common >= LEAST_COMMON * union)
+
+
 def across(members: DataFrame, most: int | None) -> DataFrame:
-    """Pairs of one bucket and different components that signatures allow, from rows (key, m, rep, component, n, low); m is the bucket's size.
+    """Pairs (a, b, cut) of one bucket and different components that signatures allow, from rows (key, m, rep, component, n, low, keys, few); m is the bucket's size.
 
-    A bucket is cut into blocks of about BLOCK classes, and each two blocks meet in a task of their own; only pairs that pass leave it, with `most` only each member's likeliest partners. A pair leaves only the bucket of the first band that it shares."""
+    A bucket is cut into blocks of about BLOCK classes, and each two blocks meet in a task of their own; only pairs that pass leave it, with `most` only each member's likeliest partners, and cut tells that it had more. A pair leaves only the bucket of the first band that it shares."""
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     own = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    own = own.select("*", other).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component", "n", "low", "keys")
+    own = own.select("*", other).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component", "n", "low", "keys", "few")
 
     def compare(key, group):
         bucket, i, j = (x.as_py() for x in key)
         block, rep, component, n = (group.column(c).to_numpy() for c in ("block", "rep", "component", "n"))
         low = np.frombuffer(b"".join(group.column("low").to_pylist()), np.uint8).reshape(-1, BINS)
         keys = np.array(group.column("keys").to_pylist(), np.int64)
+        few = [np.frombuffer(x, np.uint32) for x in group.column("few").to_pylist()]
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        a, b = [], []
+        a, b, cut = [], [], []
         for x in left.tolist():
             y = right[component[right] != component[x]]
             if i == j:
                 y = y[y > x]
             y = y[(100 * np.minimum(n[y], n[x]) >= LINK * np.maximum(n[y], n[x]))]
-            equal = (low[y] == low[x]).sum(axis=1)
-            y, equal = y[equal >= LEAST_EQUAL * BINS], equal[equal >= LEAST_EQUAL * BINS]
+            y = y[(low[y] == low[x]).sum(axis=1) >= LEAST_EQUAL * BINS]
             if len(y):
-                shared = keys[y] == keys[x]
-                here = keys[x][shared.argmax(axis=1)] == bucket
-                y, equal = y[here], equal[here]
-            if most is not None and len(y) > most:
-                y = y[np.lexsort((rep[y], -equal))[:most]]
+                y = y[keys[x][(keys[y] == keys[x]).argmax(axis=1)] == bucket]
+            if not len(y):
+                continue
+            share, allowed = common_share(few[x], n[x], [few[k] for k in y.tolist()], n[y])
+            y, share = y[allowed], share[allowed]
+            more = most is not None and len(y) > most
+            if more:
+                y = y[np.lexsort((rep[y], -share))[:most]]
             a += [rep[x]] * len(y)
             b += rep[y].tolist()
-        return pa.table({"a": pa.array(np.minimum(a, b).astype(np.int64)), "b": pa.array(np.maximum(a, b).astype(np.int64))})
+            cut += [more] * len(y)
+        return pa.table({"a": pa.array(np.minimum(a, b).astype(np.int64)), "b": pa.array(np.maximum(a, b).astype(np.int64)), "cut": pa.array(cut, pa.bool_())})
 
-    return own.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return own.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long, cut boolean")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -240,16 +262,19 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     sets = written(full_sets(texts), "sets")
     tried, links = candidates, written(confirmed(candidates, sets), "links")
     parts = written(components(links), "parts")
-    for most in (*PARTNERS, None):
+    sketched_sets = nodes.select("rep", "n", "low", "keys").join(sets.select(F.col("id").alias("rep"), "few"), "rep")
+    for most in (PARTNERS, None):
         placed = buckets.join(parts.withColumnRenamed("vertex", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        rest = placed.join(mixed, "key").join(nodes.select("rep", "n", "low", "keys"), "rep")
-        more = written(across(rest, most).join(tried, ["a", "b"], "left_anti"), "more")
-        if more.isEmpty():
-            continue
-        tried = tried.unionByName(more)
-        links = written(links.unionByName(confirmed(more, sets)), "links")
-        parts = written(components(links), "parts")
+        rest = placed.join(mixed, "key").join(sketched_sets, "rep")
+        found = written(across(rest, most), "more")
+        more = written(found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "more")
+        if not more.isEmpty():
+            tried = tried.unionByName(more)
+            links = written(links.unionByName(confirmed(more, sets)), "links")
+            parts = written(components(links), "parts")
+        if found.where("cut").isEmpty():
+            break
     dropped(sets)
     by_digest = nodes.join(parts.withColumnRenamed("vertex", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     found = sketched.select("id", "n", F.when(F.col("id").isNotNull(), F.col("digest")).alias("digest")).join(by_digest, "digest", "left")
