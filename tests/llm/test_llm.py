@@ -147,3 +147,20 @@ def test_learnt_operators_hold_out(spark):
     for name, column, got in (("op3_toxicity", "toxic", "predicted"), ("op8_quality_classifier", "quality", "cast(kept as int)")):
         rows = queries.QUERIES[name](spark, "/root/testdata/sf0.01").join(labels, "doc_id").where("held_out")
         assert rows.where(f"{got} = {column}").count() >= 0.93 * rows.count()
+
+
+def test_common_share():
+    rng = np.random.default_rng(5)
+    pool = np.sort(rng.integers(0, 1 << 63, 4000, dtype=np.uint64) * np.uint64(2))
+    for size in (3, 100, minhash.FEW, 3000):
+        own = np.sort(rng.choice(pool, size, replace=False))
+        others = [own[:: max(1, size // k)] for k in (1, 2, size)] + [np.unique(np.concatenate([own[k:], rng.choice(pool, max(1, size // 9))])) for k in (0, 1, size // 8)]
+        few = [(o[: minhash.FEW] >> np.uint64(32)).astype(np.uint32) for o in (own, *others)]
+        share, allowed = minhash.common_share(few[0], size, few[1:], np.array([len(o) for o in others]))
+        for other, got, may in zip(others, share, allowed, strict=True):
+            common, union = len(np.intersect1d(own, other)), len(np.union1d(own, other))
+            assert may or 100 * common < minhash.LINK * union
+            if max(size, len(other)) <= minhash.FEW:
+                assert got == pytest.approx(common / union) and may == (100 * common >= minhash.LINK * union)
+            else:
+                assert got == pytest.approx(common / union, abs=0.16)
