@@ -154,7 +154,7 @@ def test_common_share():
     pool = np.sort(rng.integers(0, 1 << 63, 4000, dtype=np.uint64) * np.uint64(2))
     for size in (3, 100, minhash.FEW, 3000):
         own = np.sort(rng.choice(pool, size, replace=False))
-        others = [own[:: max(1, size // k)] for k in (1, 2, size)] + [np.unique(np.concatenate([own[k:], rng.choice(pool, max(1, size // 9))])) for k in (0, 1, size // 8)]
+        others = [own[:: max(1, size // k)] for k in (1, 2, size)] + [np.unique(np.concatenate([rng.permutation(own)[k:], rng.choice(pool, max(1, size // 9))])) for k in (0, 1, size // 8)]
         few = [(o[: minhash.FEW] >> np.uint64(32)).astype(np.uint32) for o in (own, *others)]
         share, allowed = minhash.common_share(few[0], size, few[1:], np.array([len(o) for o in others]))
         for other, got, may in zip(others, share, allowed, strict=True):
