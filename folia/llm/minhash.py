@@ -9,7 +9,8 @@ whose buckets are the fullest, so the number of candidate pairs stays linear.
 Candidates are confirmed on full sets, and components found by star
 contraction. In buckets that still hold several components, members of
 different components are compared in blocks by whole signatures and then by
-the smallest hashes of their sets (sets of up to FEW shingles: exactly): first
+the smallest hashes of their sets (two sets of up to FEW shingles: exactly, and
+whatever their signatures are, which stray too far on small sets): first
 each one's few likeliest partners are confirmed, then, if some had more, all
 of them, so that no link depends on the choice of centres.
 
@@ -31,7 +32,7 @@ from folia.llm.hashing import mix, sequences, word_hashes
 
 WORDS, BINS, ROWS = 5, 256, 5
 BANDS = BINS // ROWS
-#: Percent of similarity that links, and share of equal signature bytes below which a pair can't be linked (more than five standard deviations off).
+#: Percent of similarity that links, and share of equal signature bytes below which a pair can't be linked: more than five standard deviations off where a set is larger than FEW; pairs of smaller sets aren't held to it.
 LINK, LEAST_EQUAL = 75, 0.61
 #: Tries of the densification before an empty bin takes the next full one; classes in a block of a bucket's comparison.
 TRIES, BLOCK = 96, 512
@@ -130,12 +131,12 @@ def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Candidate pairs (a, b) whose sizes and signatures allow a link."""
     own = nodes.select("rep", "n", "low")
     both = pairs.join(own.toDF("a", "na", "la"), "a").join(own.toDF("b", "nb", "lb"), "b")
-    both = both.where((100 * F.least("na", "nb") >= LINK * F.greatest("na", "nb"))).select("a", "b", "la", "lb")
+    both = both.where((100 * F.least("na", "nb") >= LINK * F.greatest("na", "nb"))).select("a", "b", "la", "lb", (F.greatest("na", "nb") <= FEW).alias("small"))
 
     def run(batches):
         for batch in batches:
             la, lb = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BINS) for k in (2, 3))
-            keep = (la == lb).sum(axis=1) >= LEAST_EQUAL * BINS
+            keep = ((la == lb).sum(axis=1) >= LEAST_EQUAL * BINS) | batch.column(4).to_numpy(zero_copy_only=False)
             yield batch.filter(pa.array(keep)).select(["a", "b"])
 
     return both.mapInArrow(run, "a long, b long").distinct()
@@ -223,7 +224,7 @@ def across(members: DataFrame, most: int | None) -> DataFrame:
             if i == j:
                 y = y[y > x]
             y = y[(100 * np.minimum(n[y], n[x]) >= LINK * np.maximum(n[y], n[x]))]
-            y = y[(low[y] == low[x]).sum(axis=1) >= LEAST_EQUAL * BINS]
+            y = y[((low[y] == low[x]).sum(axis=1) >= LEAST_EQUAL * BINS) | ((n[y] <= FEW) & (n[x] <= FEW))]
             if len(y):
                 y = y[keys[x][(keys[y] == keys[x]).argmax(axis=1)] == bucket]
             if not len(y):

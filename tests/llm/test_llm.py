@@ -164,3 +164,19 @@ def test_common_share():
                 assert got == pytest.approx(common / union) and may == (100 * common >= minhash.LINK * union)
             else:
                 assert got == pytest.approx(common / union, abs=0.16)
+
+
+def test_small_sets_whose_signatures_disagree(spark):
+    rng, texts = np.random.default_rng(3), []
+    while len(texts) < 40:
+        words = [f"w{k}" for k in rng.integers(0, 10**6, 8)]
+        pair = [" ".join(words[:7]), " ".join(words)]
+        data = [t.encode() for t in pair]
+        sets = minhash.shingle_sets(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+        one, two = minhash.signatures(sets)
+        keys = minhash.band_keys(np.array([one, two]))
+        if ((one ^ two) & np.uint64(255) == 0).mean() < minhash.LEAST_EQUAL and (keys[0] == keys[1]).any():
+            texts += pair
+    rows = list(enumerate(texts))
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(dict(rows))
