@@ -261,7 +261,17 @@ def retry_chunks(spark, sf_dir):
 @query("""SELECT doc_id, regexp_matches(text, '[a-z]') AS round_trip FROM documents WHERE contains(text, '$') OR doc_id % 10 = 0""".replace("regexp_matches(text, '[a-z]')", "TRUE"))
 def protect_restore(spark, sf_dir):
     """Spans between dollar signs are protected and restored; the text must come back unchanged."""
-    docs = table(spark, sf_dir, "documents").where(F.contains("text", F.lit("$")) | (F.col("doc_id") % 10 == 0))
+    return round_trips(table(spark, sf_dir, "documents").where(F.contains("text", F.lit("$")) | (F.col("doc_id") % 10 == 0)))
+
+
+@query()
+def protect_restore_all(spark, sf_dir):
+    """The same over every document; a test holds it to brute force."""
+    return round_trips(table(spark, sf_dir, "documents"))
+
+
+def round_trips(docs: DataFrame) -> DataFrame:
+    """Whether each text comes back unchanged and its placeholders can't be taken for others; false where the text itself holds a placeholder."""
     safe, kept = T.protect(F.col("text"), r"\$[^$]*\$")
     docs = docs.withColumn("safe", safe).withColumn("kept", kept)
     return docs.select("doc_id", ((T.restore(F.col("safe"), F.col("kept")) == F.col("text")) & T.once_each(F.col("safe"), F.size("kept"))).alias("round_trip"))

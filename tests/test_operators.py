@@ -1,5 +1,7 @@
 """Fixtures for the document operators; the SQL comparisons cover the driver's tables."""
 
+import re
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -107,3 +109,21 @@ def test_sources_and_sinks(spark, tmp_path):
 @pytest.mark.parametrize("name", ["html_blocks", "repaired_math", "wrapped_math", "tex_events", "title_slugs"])
 def test_scanner_queries_run(spark, name):
     assert registry.queries()[name](spark, DATA).count() > 0
+
+
+def round_trip(text):
+    """By brute force: spans to placeholders by number, each placeholder back to its span from the first to the last."""
+    spans = re.findall(r"\$[^$]*\$", text)
+    numbers = iter(range(len(spans)))
+    safe = back = re.sub(r"\$[^$]*\$", lambda m: f"[[M{next(numbers)}]]", text)
+    for k, span in enumerate(spans):
+        back = back.replace(f"[[M{k}]]", span)
+    return back == text and sorted(map(int, re.findall(r"\[\[M([0-9]+)\]\]", safe))) == list(range(len(spans)))
+
+
+def test_protect_restore_covers_every_document(spark, tmp_path):
+    texts = ["", "plain", "$a$ b $c$", "a $ b", "[[M0]]", "[[M0]] $x$", "$[[M0]]$", "$[[M1]]$ $y$", "[[M7]] x", "$$ \n$p\nq$", "$a$" * 12]
+    spark.createDataFrame([(k + 1, t) for k, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for folder in (str(tmp_path), DATA):
+        want = {r.doc_id: round_trip(r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+        assert {r.doc_id: r.round_trip for r in registry.queries()["protect_restore_all"](spark, folder).collect()} == want
