@@ -36,10 +36,12 @@ def violations(pairs: DataFrame, keys: list[str], level: int = 2) -> DataFrame:
 
 def degenerate(source: Column, target: Column) -> Column:
     """A translation gone wrong: far too long, in another script, or with a four-gram said five times over."""
-    tokens = T.words(target)
-    grams = F.array_sort(T.ngrams(tokens, 4))
-    often = F.exists(F.filter(grams, lambda g, i: g.eqNullSafe(F.get(grams, i + 4))), lambda g: g.isNotNull())
-    return (F.length(target) > F.greatest(F.lit(600), 4 * F.length(source))) | target.rlike("[Ѐ-ӿ一-鿿]") | ((F.size(tokens) >= 30) & often)
+    tokens = F.regexp_extract_all(F.lower(target), F.lit("([a-z']+)"), F.lit(1))
+    # each array is bound to a lambda's variable, as an expression inside a lambda is worked out again for each element
+    bound = lambda c, f: F.get(F.transform(F.array(c), f), F.lit(0))
+    often = lambda g: F.exists(F.transform(g, lambda x, i: x.eqNullSafe(F.get(g, i + 4))), lambda same: same)
+    repeats = bound(tokens, lambda w: F.when(F.size(w) >= 30, bound(F.sort_array(T.ngrams(w, 4)), often)).otherwise(False))
+    return (F.length(target) > F.greatest(F.lit(600), 4 * F.length(source))) | target.rlike(r"[\u0400-\u04ff\u3400-\u9fff]") | repeats
 
 
 def fragment_problem(source: Column, target: Column) -> Column:

@@ -127,3 +127,35 @@ def test_protect_restore_covers_every_document(spark, tmp_path):
     for folder in (str(tmp_path), DATA):
         want = {r.doc_id: round_trip(r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
         assert {r.doc_id: r.round_trip for r in registry.queries()["protect_restore_all"](spark, folder).collect()} == want
+
+
+EN_WORDS = "the a an and or of to in is are was were for with that this from by on as be it its may most any used using should".split()
+FR_WORDS = "le la les un une des du de et ou dans est sont pour avec que qui par sur comme ce cette ces on il elle nous soit être tout".split()
+
+
+def english(text):
+    words = re.findall(r"[A-Za-zÀ-ÿ']+", text.lower())
+    en, fr = (sum(w in known for w in words) for known in (EN_WORDS, FR_WORDS))
+    return len(words) >= 5 and en >= 3 and en > 2 * fr
+
+
+def degenerate(source, target):
+    words = re.findall(r"[A-Za-z']+", target.lower())
+    grams = [tuple(words[i : i + 4]) for i in range(len(words) - 3)]
+    return len(target) > max(600, 4 * len(source)) or bool(re.search("[\u0400-\u04ff\u3400-\u9fff]", target)) or (len(words) >= 30 and max(map(grams.count, set(grams))) >= 5)
+
+
+@pytest.mark.parametrize("name", ["already_english_all_words", "degenerate_translation_all_rules"])
+def test_whole_rules_of_the_reference(spark, tmp_path, name):
+    texts = ["", "it may be used by any", "dans ce cas il sont nous the of and", "it's on a l'on by an x'y", "a \u0416 b", "\u3400", "\u4dff", "\u9fff", "\ua000 a", "x" * 601, "x" * 200 + "\n" + "y" * 500, "x" * 100 + "\n" + "y" * 510]
+    texts += [" ".join(["one two three four"] * n + [f"{'abcdefghij'[k]}z" for k in range(10)]) for n in (4, 5, 6)] + ["a b c d " * 7, "a b c d " * 8, "un deux à trois " * 9, "it's a dog's life " * 9, " ".join(f"w{'abcdefghijklmnopqrstuvwxyz'[k]}" for k in range(26)) + " p q r s"]
+    spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for folder in (str(tmp_path), DATA):
+        rule = english if name.startswith("already") else lambda t: degenerate(t.split("\n")[0], t)
+        want = {r.doc_id: rule(r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+        assert len(set(want.values())) == 2
+        got = registry.queries()[name](spark, folder)
+        assert {r[0]: r[-1] for r in got.collect()} == want
+        con = duckdb.connect()
+        con.sql(f"create view documents as select * from read_parquet('{folder}/documents.parquet{'/*.parquet' if folder != DATA else ''}')")
+        assert sorted(map(tuple, got.collect())) == sorted(con.sql(registry.oracles()[name]).fetchall())
