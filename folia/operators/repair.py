@@ -9,101 +9,111 @@ import re
 import pandas as pd
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"\\[()]|[()]")
-ROMAN = re.compile(r"^[ivx]+$|^[IVX]+$")
-RELATION = re.compile(r"[=<>^_\\]|\\[a-zA-Z]+")
-
-
-def delimiters(text: str) -> tuple[str, list[str]]:
-    """Balances \\( and \\): inside open math a second opener becomes a plain parenthesis when a plain closer answers it, a closer without an opener becomes plain; what stays open is reported."""
-    out, log, inside, plain, last = [], [], False, 0, 0
-    for m in TOKEN.finditer(text):
-        token = m[0]
-        out.append(text[last : m.start()])
-        last = m.end()
-        if token == "\\(":
-            if inside:
-                plain += 1
-                log.append(f"nested at {m.start()}")
-                token = "("
-            inside = True
-        elif token == "\\)":
-            if not inside:
-                log.append(f"stray closer at {m.start()}")
-                token = ")"
-            elif plain and text.find("\\)", m.end()) >= 0 and (nxt := TOKEN.search(text, m.end())) and nxt[0] in ("\\)", ")"):
-                plain -= 1
-                token = ")"
+#: What makes the content of a group with a plain closer a formula: a command or a script, or a single letter other than "i".
+TEXISH = re.compile(r"\\[a-zA-Z]{2,}|[\^_]")
+SINGLE = re.compile(r"^[A-Za-hj-z]['′]*$|^[A-Z]['′]*$")
+KINDS = {op: (cl, re.compile(rf"(?s)\\(.)|[\{op}\{cl}]"), re.compile(rf"\s*\\\{cl}")) for op, cl in ("()", "[]")}
+
+ROMAN = {"i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix", "x", "xi", "xii"}
+LETTERS = set("abcdefghjklmnopqrstuvwxyzABCDEFGHIJKLMNPQRSTUVWXYZ")
+STOP = set(
+    "le la les un une des du de et ou où si on en par pour avec sans sur sous dans est sont cas resp voir cf loc cit exemple ex chap exp sga ega page pages ibid donc alors comme que qui ne pas plus "
+    "tout tous toute notations notation the of and see dire être avoir aussi ici après avant".split()
+)
+MASKED = re.compile(r"(?s)<!--.*?-->|(?<!\\)\\\[.*?(?<!\\)\\\]|(?<!\\)\\\(.*?(?<!\\)\\\)|<[^>]+>")
+WORD = re.compile(r"[a-zàâçéèêëîïôûùüÿœ]{2,}")
+CHARSET = re.compile(r"^[A-Za-z0-9À-ÿ'′,;:=+\-*/|!.\s(){}\[\]\\^_&#]+$")
+
+
+def one_kind(text: str, op: str, log: list[str]) -> str:
+    """Repairs one kind of delimiter in one pass; `groups` has the place of each open delimiter and the depth of plain ones in it, innermost last."""
+    cl, token, closer = KINDS[op]
+    gone, added, groups, at = [], set(), [], 0
+    while m := token.search(text, at):
+        i, at = m.start(), m.end()
+        if m[1] == op:
+            groups.append([i, 0])
+        elif m[1] == cl and len(groups) > 1:
+            inner, depth = groups.pop()
+            groups[-1][1] += depth
+            gone += [inner, i]
+            log.append(f"nested at {inner}")
+        elif m[1] == cl and groups:
+            groups.pop()
+        elif m[1] == cl == ")":
+            gone.append(i)
+            log.append(f"stray closer at {i}")
+        elif m[0] == op and groups:
+            groups[-1][1] += 1
+        elif m[0] == cl and groups:
+            if groups[-1][1]:
+                groups[-1][1] -= 1
+                continue
+            start = groups.pop()[0]
+            if groups:
+                gone.append(start)
+                log.append(f"nested at {start}")
+            elif after := closer.match(text, at):
+                at = after.end()
+            elif TEXISH.search(content := text[start + 2 : i]) or SINGLE.match(content.strip()):
+                added.add(i)
+                log.append(f"plain closer at {i}")
             else:
-                inside, plain = False, 0
-        elif inside:
-            plain = max(0, plain + (1 if token == "(" else -1))
-        out.append(token)
-    if inside:
+                gone.append(start)
+                log.append(f"literal opener at {start}")
+    for inner, _ in groups[1:]:
+        gone.append(inner)
+        log.append(f"nested at {inner}")
+    if groups:
         log.append("unclosed")
-    return "".join(out) + text[last:], log
+    out, last = [], 0
+    for k in sorted([*gone, *added]):
+        out += [text[last:k], "\\" if k in added else ""]
+        last = k if k in added else k + 1
+    return "".join(out) + text[last:]
 
 
-def to_fixpoint(text: str, most: int = 10) -> tuple[str, list[str]]:
+def delimiters(text: str) -> tuple[str, list[str]]:
+    """Balances \\( \\) and \\[ \\]: the innermost nested pair or opener becomes plain; an opener answered by a plain closer gets a real one if it holds a formula and becomes plain otherwise; \\) without an opener becomes plain; what stays open is reported."""
     log: list[str] = []
-    for _ in range(most):
-        text, new = delimiters(text)
-        log += new
-        if not [x for x in new if x != "unclosed"]:
-            break
+    for op in KINDS:
+        text = one_kind(text, op, log)
     return text, log
 
 
 def is_math(inner: str) -> bool:
-    """Whether a bare parenthesis holds a formula: not an enumerator, a number, an acronym or prose."""
-    inner = inner.strip()
-    if not inner or ROMAN.match(inner) or re.fullmatch(r"[0-9]+(?:[.,][0-9]+)*", inner) or re.fullmatch(r"[A-Z]{2,}", inner) or re.fullmatch(r"[a-z]", inner):
+    """Whether a bare parenthesis holds a formula: not an enumerator, a number, a citation, an acronym or prose."""
+    c = inner.strip()
+    if not c or "\0" in c:
+        return False
+    if c.lower() in ROMAN or len(c) == 1:
+        return c in LETTERS
+    if re.fullmatch(r"[A-Za-z]['′]+", c):
+        return True
+    if re.fullmatch(r"[A-Z]{2,}", c) or re.fullmatch(r"[\d.,;\s\-–]+", c) or re.search(r"(^|\s)\[\d+\]", c) or re.search(r"\((?:i|ii|iii|iv|vi|vii|viii|ix)\)", c):
         return False
-    words = re.findall(r"[A-Za-zÀ-ÿ]{3,}", re.sub(r"\\[a-zA-Z]+", " ", inner))
-    return not words and bool(RELATION.search(inner) or re.fullmatch(r"[A-Z]'*|[a-zA-Z](?:\s*,\s*[a-zA-Z])+|[a-zA-Z]\([a-zA-Z]\)", inner))
+    bare = re.sub(r"&[a-z]+;", " ", re.sub(r"\\[a-zA-Z]+", " ", c.replace("\\acute et", " ")))
+    if not STOP.isdisjoint(WORD.findall(bare)) or not CHARSET.match(c):
+        return False
+    return bool(re.search(r"\\[a-zA-Z]{2,}|[\^_=/(]|&lt;|&gt;", c) or re.fullmatch(r"[A-Za-z]['′]*([,;:][ ]?[A-Za-z]['′]*)+", c))
 
 
 def wrap_bare(text: str) -> tuple[str, list[str]]:
-    """Outermost balanced groups outside math that hold a formula become math; other groups are searched inside."""
-    log: list[str] = []
-
-    def scan(part: str) -> str:
-        out, k = [], 0
-        while k < len(part):
-            if part.startswith(("\\(", "\\["), k):
-                end = part.find("\\)" if part[k + 1] == "(" else "\\]", k)
-                end = len(part) if end < 0 else end + 2
-                out.append(part[k:end])
-                k = end
-            elif part[k] == "<":
-                end = part.find(">", k)
-                end = len(part) if end < 0 else end + 1
-                out.append(part[k:end])
-                k = end
-            elif part[k] == "(":
-                level, j = 0, k
-                while j < len(part):
-                    level += (part[j] == "(") - (part[j] == ")")
-                    if not level:
-                        break
-                    j += 1
-                if j == len(part):
-                    out.append(part[k])
-                    k += 1
-                    continue
-                inner = part[k + 1 : j]
-                if is_math(inner):
-                    log.append(inner)
-                    out.append("\\((" + inner + ")\\)")
-                else:
-                    out.append("(" + scan(inner) + ")")
-                k = j + 1
-            else:
-                out.append(part[k])
-                k += 1
-        return "".join(out)
-
-    return scan(text), log
+    """Outermost balanced groups outside math, tags and comments that hold a formula become math; other groups are searched inside."""
+    masked = MASKED.sub(lambda m: "\0" * len(m[0]), text)
+    opened, closers = [], {}
+    for m in re.finditer("[()]", masked):
+        if m[0] == "(":
+            opened.append(m.start())
+        elif opened:
+            closers[opened.pop()] = m.start()
+    out, log, last = list(text), [], -1
+    for a in sorted(closers):
+        b = closers[a]
+        if a > last and is_math(masked[a + 1 : b]):
+            log.append(text[a + 1 : b])
+            out[a], out[b], last = "\\((", ")\\)", b
+    return "".join(out), log
 
 
 def _column(f):
@@ -116,7 +126,7 @@ def _column(f):
 
 
 def repaired_delimiters(c):
-    return _column(to_fixpoint)(c)
+    return _column(delimiters)(c)
 
 
 def wrapped_math(c):

@@ -159,3 +159,28 @@ def test_whole_rules_of_the_reference(spark, tmp_path, name):
         con = duckdb.connect()
         con.sql(f"create view documents as select * from read_parquet('{folder}/documents.parquet{'/*.parquet' if folder != DATA else ''}')")
         assert sorted(map(tuple, got.collect())) == sorted(con.sql(registry.oracles()[name]).fetchall())
+
+
+def test_delimiters_of_both_kinds():
+    cases = {
+        r"\(\mathcal O\(C)\simeq x\) b": r"\(\mathcal O(C)\simeq x\) b", r"\(\dim u_s\(G_s\)\)": r"\(\dim u_s(G_s)\)", r"\(a \(b \(c\) d\) e\)": r"\(a (b (c) d) e\)",
+        r"\(k) text": r"\(k\) text", r"\(2n;2) and": "(2n;2) and", r"\(i) x": "(i) x", r"\(X') x": r"\(X'\) x", r"\(\operatorname{Pic}_{C/k}^o) x": r"\(\operatorname{Pic}_{C/k}^o\) x", r"\(f(x)_n) y": r"\(f(x)_n\) y",
+        r"\(\alpha)\) x": r"\(\alpha)\) x", r"\[x^2] y": r"\[x^2\] y", r"\[12] y": "[12] y", r"\[a \[b\] c\]": r"\[a [b] c\]", r"\[\alpha] \] y": r"\[\alpha] \] y", r"\\(a) \\[2pt]": r"\\(a) \\[2pt]", r"a\] b": r"a\] b",
+    }
+    for text, want in cases.items():
+        assert repair.delimiters(text)[0] == want and repair.delimiters(want)[0] == want
+        assert bool(repair.delimiters(text)[1]) == (text != want)
+    for text in (r"\(a", r"\[a"):
+        assert repair.delimiters(text) == (text, ["unclosed"])
+    assert repair.delimiters(r"\(x \(y")[0] == r"\(x (y"
+    assert repair.delimiters(r"\(x " + r"\(y\) " * 20000)[0] == r"\(x " + "(y) " * 20000
+
+
+def test_bare_parentheses():
+    math = ["I", "x", "X'", "x'", "f(x)", "a/b", "X", "u,v,w", r"X\longrightarrow S", "a_2^{-1}(y)=s", "a&lt;b"]
+    prose = ["i", "ML", "2.2.4", "1965", "iv", "II", "O", "", "[12] 1.3.6", "x (ii) y", "un mot", "resp. a/b", "le x=1"]
+    for inner in math + prose:
+        assert repair.wrap_bare(f"a ({inner}) b")[0] == (rf"a \(({inner})\) b" if inner in math else f"a ({inner}) b")
+    assert repair.wrap_bare("(resp. (b/a))")[0] == r"(resp. \((b/a)\))"
+    assert repair.wrap_bare(r"<a t='(x)'>\(f(x)\)</a><!-- (x) --> ( (x) \[(y)\]")[0] == r"<a t='(x)'>\(f(x)\)</a><!-- (x) --> ( \((x)\) \[(y)\]"
+    assert repair.wrap_bare("(" * 3000)[1] == []
