@@ -75,13 +75,15 @@ def measured(docs: DataFrame, text_column: str = "text") -> DataFrame:
     symbols = (F.length("_text") - F.length(plain)).cast("long")
     bullets = F.size(F.filter("_lines", lambda line: F.ltrim(line).rlike(r"^[-*•]"))).cast("long")
     upper = F.length("_text") - F.length(F.regexp_replace("_text", r"\p{Lu}+", ""))
-    return out.withColumns({
+    measures = {
         "_n_words": n_words, "_word_chars": bare, "_n_symbols": symbols,
         "_n_dup_lines": n_lines - F.size(F.array_distinct("_lines")),
         "_n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
         "_mean_word_chars": ratio(bare, n_words), "_symbol_ratio": ratio(symbols, n_words), "_stop_word_ratio": ratio(n_stop, n_words),
         "_dup_line_ratio": ratio(n_lines - F.size(F.array_distinct("_lines")), n_lines), "_bullet_line_ratio": ratio(bullets, n_lines), "_upper_ratio": ratio(upper, bare),
-    })
+    }
+    # one struct, inlined again: a filter on a measure stays above it, where it would otherwise be pushed to the scan with the whole derivation inside its lambdas
+    return out.select(*docs.columns, F.inline(F.array(F.struct(*[c.alias(name) for name, c in measures.items()]))))
 
 
 def verdict(thresholds: list[tuple]) -> Column:
