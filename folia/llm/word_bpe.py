@@ -2,7 +2,7 @@
 
 The vocabulary drops white space, and neither its normalisation nor its
 pattern reaches across it, so the ids of a text are those of its words
-one after the other. Each new word goes through the library once.
+one after the other. Each new word goes through the library's merges once.
 """
 
 from __future__ import annotations
@@ -13,13 +13,15 @@ import re
 
 import numpy as np
 
+from folia.llm import vocabulary
 from folia.llm.common import Cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 CACHE_WORDS = 1_000_000
-#: The vocabulary's pattern for printable Latin-1 without numerals other than digits, and the blank between words.
-PIECES = re.compile(r" |'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+#: The vocabulary's pattern for printable Latin-1 without numerals other than digits, and signs that end words (one match, as no letter follows).
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+SIGNS = b".,;:!?)]}\"'*%$&#-"
 NUMERALS = re.compile("[²³¹¼½¾]")
 
 
@@ -33,49 +35,37 @@ def tokenizer(file: str):
 class WordIds:
     def __init__(self, file: str):
         self.tokenizer = tokenizer(file)
-        self.known, self.pieces = Cache(CACHE_WORDS), Cache(CACHE_WORDS)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-
-    def learn_pieces(self, pieces: set[str]) -> None:
-        """Ids of matches of the pattern. A run of letters has one word end, at its last token, so many runs are encoded at once."""
-        new = [p for p in pieces if p not in self.pieces]
-        if len(self.pieces) + len(new) > self.pieces.most:
-            self.pieces.clear()
-            new = list(pieces)
-        letters = [p for p in new if p.isalpha()]
-        for k in range(0, len(letters), 2048):
-            some = letters[k : k + 2048]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            for piece, i, j in zip(some, [0, *ends], ends, strict=False):
-                self.pieces[piece] = ids[i:j].tobytes()
-        for piece in new:
-            if not piece.isalpha():
-                self.pieces[piece] = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        self.merges = self.tokenizer.model.tokenize
+        self.known, self.before = {}, {}  # words of this and of the last generation
+        self.pieces = Cache(CACHE_WORDS // 2)
+        self.raw = [np.array([i], "<u4").tobytes() for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
+        self.letters = {b: letter for b, letter in enumerate(vocabulary.byte_letters()) if chr(b) != letter}
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of one match of the pattern; letters of printable Latin-1 in lower case go to the merges as they are."""
+        if (found := self.pieces.get(piece)) is None:
+            self.pieces.room(1)
+            if piece.isalpha():
+                found = b"".join([self.raw[t.id] for t in self.merges(piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters))])
+            else:
+                found = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+            self.pieces[piece] = found
+        return found
 
     def learn(self, words: list[bytes]) -> None:
-        """Ids of new words. Printable Latin-1 words, which the normaliser only lowers, are matched in one go; any other word goes through the library as it is."""
-        plain, rest = [], []
+        """Ids of new words. Printable Latin-1 words, which the normaliser only lowers, are cut into the matches of the pattern, most of them letters and signs at the end; any other word goes through the library as it is."""
+        known, piece = self.known, self.piece
         for raw in words:
+            bare = raw.rstrip(SIGNS)
+            word = bare.decode()
+            if word.isalpha() and (word.isascii() or max(word) < "\u0100"):
+                known[raw] = piece(word.lower()) + piece(raw[len(bare) :].decode()) if len(bare) < len(raw) else piece(word.lower())
+                continue
             word = raw.decode()
             if "<" not in word and word.isprintable() and max(word) < "\u0100" and not NUMERALS.search(word):
-                plain.append((raw, word))
-            else:
-                rest.append((raw, word))
-        runs: list[list[str]] = [[]]
-        for piece in PIECES.findall(" ".join(w for _, w in plain)):
-            if piece == " ":
-                runs.append([])
+                known[raw] = b"".join([piece(p) for p in PIECES.findall(word.lower())])
             else:
-                runs[-1].append(piece)
-        self.learn_pieces({piece for run in runs for piece in run})
-        pieces = self.pieces.__getitem__
-        for (raw, _), run in zip(plain, runs, strict=False):
-            self.known[raw] = b"".join(map(pieces, run))
-        for raw, word in rest:
-            self.known[raw] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+                known[raw] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def words(self, text: str) -> list[bytes]:
         """Runs without ASCII white space. Lower case at once where no special string can be in the text (the library lowers all other text itself)."""
@@ -85,17 +75,21 @@ class WordIds:
     def packed(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [self.words(t) for t in texts]
-        known = self.known
-        distinct = set().union(*split)
-        new = {w for w in distinct if w not in known}
-        if len(known) + len(new) > known.most:
-            known.clear()
-            new = distinct
-        self.learn(list(new))
+        if len(self.known) > CACHE_WORDS // 2:
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        new, long = [], []
+        for word in set().union(*split):
+            if word not in known:
+                if (found := before.get(word)) is not None:
+                    known[word] = found
+                else:
+                    (new if len(word) <= 64 else long).append(word)
+        self.learn(new)
+        self.learn(long)
         out = [b"".join(map(known.__getitem__, words)) for words in split]
-        for word in new:
-            if len(word) > 64:
-                del known[word]
+        for word in long:  # long strings rarely come again
+            del known[word]
         return out
 
 
