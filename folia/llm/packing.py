@@ -1,7 +1,7 @@
 """Operator 9: packing documents into sequences by length patterns.
 
-Only the histogram of piece lengths reaches the driver: one count for each
-length and hash bucket, bounded by the sequence length. There, patterns of a
+Only the histogram of piece lengths reaches the driver, bounded by the
+sequence length, and one count for each window of WINDOW_ROWS pieces. There, patterns of a
 few lengths that fill a sequence exactly are enumerated, repeat counts are
 fitted to the histogram by non-negative least squares and rounded down, and
 what is left is packed best fit, longest first, whole groups of equal bins at
@@ -28,8 +28,8 @@ from folia.llm import vocabulary
 from folia.llm.common import slices, text_buffers, written
 from folia.llm.word_bpe import word_ids
 
-#: Hash buckets a length's ranks are numbered in; a length that a third of all pieces have is split over them.
-BUCKETS = 64
+#: Pieces of one length that are numbered in one window; a length that a third of all pieces have is split over as many hash buckets as that makes.
+WINDOW_ROWS = 20_000
 #: Patterns fitted at most, and rounds of the fit.
 MOST_PATTERNS, ROUNDS = 30_000, 12
 #: Bytes of text encoded at once.
@@ -183,26 +183,33 @@ def pieces(docs: DataFrame, id_column: str, text_column: str, file: str, end_id:
     return docs.mapInArrow(run, f"`{id_column}` {kind}, piece int, start long, length long, ids_crc32 long")
 
 
-def pack(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", file: str | None = None, end_id: int = 0, capacity: int = 2048, buckets: int = BUCKETS) -> DataFrame:
+def pack(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", file: str | None = None, end_id: int = 0, capacity: int = 2048, window_rows: int = WINDOW_ROWS) -> DataFrame:
     """A row for each piece: its place in its document, its sequence and its offset there."""
     file = file or vocabulary.path(vocabulary.WORD_BPE)
-    bucket = F.pmod(F.xxhash64(id_column, "piece", "ids_crc32"), F.lit(buckets))
-    cut = written(pieces(docs, id_column, text_column, file, end_id, capacity).withColumn("_bucket", bucket.cast("int")), "pieces")
-    counted = cut.groupBy("length", "_bucket").count().collect()  # at most capacity x buckets rows
-    counts = np.zeros((capacity + 1, buckets), np.int64)
-    for length, at, n in counted:
-        counts[length, at] = n
-    before = np.cumsum(counts, axis=1) - counts
-    found = intervals(plan(counts.sum(axis=1), capacity))
+    cut = written(pieces(docs, id_column, text_column, file, end_id, capacity), "pieces")
+    histogram = np.zeros(capacity + 1, np.int64)
+    for length, n in cut.groupBy("length").count().collect():  # at most a row for each length
+        histogram[length] = n
+    buckets = -(-histogram // window_rows)  # of each length
+    start = np.cumsum(buckets) - buckets
+    of_length = lambda values: F.get(F.array(*[F.lit(int(v)) for v in values]), F.col("length").cast("int"))
+    bucket = of_length(start) + F.pmod(F.xxhash64(id_column, "piece", "ids_crc32"), of_length(np.maximum(buckets, 1)))
+    cut = cut.withColumn("_bucket", bucket.cast("long"))
+    counts = np.zeros(int(buckets.sum()), np.int64)
+    for at, n in cut.groupBy("_bucket").count().collect():  # a row for each window of window_rows pieces, and at most one more for each length
+        counts[at] = n
+    whole = np.concatenate([[0], np.cumsum(counts)])
+    before = whole[:-1] - np.repeat(whole[start], buckets)
+    found = intervals(plan(histogram, capacity))
     keys = found[:, 0] << 40 | found[:, 1]
-    within = Window.partitionBy("length", "_bucket").orderBy(id_column, "piece", "start", "ids_crc32")
+    within = Window.partitionBy("_bucket").orderBy(id_column, "piece", "start", "ids_crc32")
     ranked = cut.withColumn("_rank", F.row_number().over(within).cast("long") - 1)
     schema = cut.drop("_bucket").schema
 
     def place(batches):
         for batch in batches:
             length, at, rank = (batch.column(n).to_numpy() for n in ("length", "_bucket", "_rank"))
-            rank = rank + before[length, at]
+            rank = rank + before[at]
             _, first, sequence, offset, times = found[np.searchsorted(keys, length << 40 | rank, "right") - 1].T
             rank = rank - first
             own = pa.RecordBatch.from_arrays([batch.column(f.name) for f in schema.fields] + [pa.array(sequence + rank // times), pa.array(offset + rank % times * length)], names=[f.name for f in schema.fields] + ["sequence_id", "offset"])
