@@ -16,6 +16,7 @@ from __future__ import annotations
 import functools
 import os
 import uuid
+from collections import OrderedDict
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -30,7 +31,9 @@ from folia.llm.hashing import mix, word_hashes
 #: Marks that no word's hash can be mistaken for but by chance.
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 #: Least number of shards; tokens merged in a task before they are sent; bytes of text handled at once; bits of a word's hash inside a bigram.
-SHARDS, FLUSH, SLICE_BYTES, SHORT = 64, 6_000_000, 4 << 20, 40
+SHARDS, FLUSH, SLICE_BYTES, SHORT = 64, 4_000_000, 1 << 20, 40
+#: Shard files a scoring worker keeps mapped.
+MOST_MAPS = 1024
 WORD_COLUMNS = ("hash", "count", "continuations", "total", "ones", "twos", "more")
 
 
@@ -92,9 +95,9 @@ def by_shard(hashes: np.ndarray, shards: int) -> np.ndarray:
 
 def sent(kind: str, key: np.ndarray, columns: list[np.ndarray], shards: int):
     """A batch with a packed row for each shard that gets something."""
-    shard = by_shard(key, shards)
+    shard = by_shard(key, shards).astype(np.uint16 if shards <= 1 << 16 else np.int64)
     order = np.argsort(shard, kind="stable")
-    cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+    cuts = np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
     rows = [(s, packed(*(c[order[i:j]] for c in columns))) for s, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i]
     return pa.RecordBatch.from_arrays([pa.array([kind] * len(rows)), pa.array([s for s, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], names=["kind", "shard", "blob"])
 
@@ -107,26 +110,39 @@ def local(uri: str) -> str:
     return unquote(at.path)
 
 
-def save(folder: str, name: str, array: np.ndarray) -> None:
-    """Written under another name first, so that a task that runs twice does no harm."""
+def save(folder: str, name: str, hashes: np.ndarray, columns: list[np.ndarray]) -> None:
+    """One file: the number of rows, the sorted hashes, each column. Written under another name first, so that a task that runs twice does no harm."""
     os.makedirs(folder, exist_ok=True)
     part = f"{folder}/.{name}-{uuid.uuid4().hex}"
     with open(part, "wb") as f:
-        np.save(f, array)
-    os.replace(part, f"{folder}/{name}.npy")
+        f.write(np.uint64(len(hashes)).tobytes())
+        f.write(hashes.astype("<u8").data)
+        for c in columns:
+            f.write(c.astype("<u4").data)
+    os.replace(part, f"{folder}/{name}")
 
 
 class Model:
-    """Maps the arrays and gives log probabilities."""
+    """Maps the files and gives log probabilities. A file that the model has but the worker can't see raises."""
 
     def __init__(self, folder: str, facts: dict):
-        self.folder, self.facts, self.arrays = folder, facts, {}
-
-    def array(self, name: str):
-        if name not in self.arrays:
-            at = f"{self.folder}/{name}.npy"
-            self.arrays[name] = np.load(at, mmap_mode="r") if os.path.exists(at) else None
-        return self.arrays[name]
+        self.folder, self.facts = folder, facts
+        self.maps: OrderedDict[str, list[np.ndarray]] = OrderedDict()
+        self.shards = {table: frozenset(facts[f"{table}_shards"].tolist()) for table in ("words", "pairs")}
+
+    def arrays(self, table: str, shard: int, columns: int) -> list[np.ndarray] | None:
+        """Hashes and columns of a shard; None where the model has no row in it."""
+        if shard not in self.shards[table]:
+            return None
+        name = f"{table}-{shard}"
+        if name not in self.maps:
+            raw = np.memmap(f"{self.folder}/{name}", np.uint8, "r")
+            n = int(raw[:8].view("<u8")[0])
+            self.maps[name] = [raw[8 : 8 + 8 * n].view("<u8"), *(raw[8 + (8 + 4 * c) * n : 8 + (12 + 4 * c) * n].view("<u4") for c in range(columns))]
+            if len(self.maps) > MOST_MAPS:
+                self.maps.popitem(last=False)
+        self.maps.move_to_end(name)
+        return self.maps[name]
 
     def looked_up(self, table: str, key: np.ndarray, columns: int) -> np.ndarray:
         """The columns beside sorted distinct keys, 0 where a key is unknown."""
@@ -134,11 +150,12 @@ class Model:
         shards = self.facts["shards"]
         cuts = np.searchsorted(by_shard(key, shards), np.arange(shards + 1))
         for s, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-            if j > i and (hashes := self.array(f"{table}-{s}-hash")) is not None:
+            if j > i and (found := self.arrays(table, s, columns)) is not None:
+                hashes = found[0]
                 at = np.minimum(np.searchsorted(hashes, key[i:j]), len(hashes) - 1)
                 hit = np.asarray(hashes[at]) == key[i:j]
                 for c in range(columns):
-                    out[c, i:j][hit] = self.array(f"{table}-{s}-{c}")[at[hit]]
+                    out[c, i:j][hit] = found[1 + c][at[hit]]
         return out
 
     def logs(self, tokens: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -164,7 +181,7 @@ class Model:
 
 @functools.lru_cache(2)
 def opened(folder: str, facts: tuple) -> Model:
-    return Model(folder, {k: np.array(v) if isinstance(v, tuple) else v for k, v in facts})
+    return Model(folder, {k: np.array(v, np.int64 if k.endswith("_shards") else None) if isinstance(v, tuple) else v for k, v in facts})
 
 
 def discounts(t: list[int]) -> list[float]:
@@ -186,25 +203,40 @@ def fit(docs: DataFrame, text_column: str = "text", shards: int | None = None) -
     folder = local(new_path(spark, "ngrams"))
 
     def count(batches):
-        unigrams: list[np.ndarray] = []
-        bigrams: list[np.ndarray] = []
+        words: list[tuple[np.ndarray, np.ndarray]] = []
+        high: list[np.ndarray] = []
+        low: list[np.ndarray] = []
+
+        def pairs():
+            """The bigrams held, merged. They are sorted by all but the last bits of the second word: where these differ, a bigram may come twice, and its shard merges it."""
+            k, rest = np.concatenate(high), np.concatenate(low)
+            high.clear()
+            low.clear()
+            order = np.argsort(k)
+            k, rest = k[order], rest[order]
+            del order
+            at = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (rest[1:] != rest[:-1])]))
+            c = np.diff(np.append(at, len(k)))
+            k, rest = k[at], rest[at]
+            v, w = k >> np.uint64(24), (k & np.uint64(0xFFFFFF)) << np.uint64(16) | rest
+            return sent("pairs", pair_key(w, v), [v, w, c], shards)
 
         def flush():
-            w, c = summed([np.concatenate(unigrams)], np.ones(sum(map(len, unigrams)), np.int64))
+            yield pairs()
+            w, c = (np.concatenate(x) for x in zip(*words))
+            words.clear()
+            w, c = summed([w], c)
             yield sent("words", w, [w, c], shards)
-            v, w = np.concatenate(bigrams, axis=1)
-            v, w, c = summed([v, w], np.ones(len(v), np.int64))
-            yield sent("pairs", pair_key(w, v), [v, w, c], shards)
-            unigrams.clear()
-            bigrams.clear()
 
         held = 0
         for batch in batches:
             data, offsets = text_buffers(batch.column(0))
             for i, j in slices(offsets, SLICE_BYTES):
                 tokens, n = tokens_of(data, offsets[i : j + 1])
-                unigrams.append(tokens)
-                bigrams.append(np.stack([short(before(tokens, n)), short(tokens)]))
+                words.append(np.unique(tokens, return_counts=True))
+                second = short(tokens)
+                high.append(short(before(tokens, n)) << np.uint64(24) | second >> np.uint64(16))
+                low.append(second.astype(np.uint16))
                 held += len(tokens)
                 if held >= FLUSH:
                     yield from flush()
@@ -212,25 +244,28 @@ def fit(docs: DataFrame, text_column: str = "text", shards: int | None = None) -
         if held:
             yield from flush()
 
-    counted = written(docs.mapInArrow(count, "kind string, shard int, blob binary"), "counts")
-
-    def merge_pairs(group):
+    def merge(group):
+        """What one shard knows of its bigrams, or its words merged."""
         shard = group.column("shard")[0].as_py()
+        if group.column("kind")[0].as_py() == "words":
+            w, c = np.concatenate([unpacked(b.as_py(), 2) for b in group.column("blob")], axis=1)
+            w, c = summed([w], c)
+            return pa.Table.from_batches([sent("words", w, [w, c], shards)])
         v, w, c = np.concatenate([unpacked(b.as_py(), 3) for b in group.column("blob")], axis=1)
         v, w, c = summed([v, w], c)
         key = pair_key(w, v)
         order = np.argsort(key)
-        save(folder, f"pairs-{shard}-hash", key[order])
-        save(folder, f"pairs-{shard}-0", c[order].astype(np.uint32))
+        save(folder, f"pairs-{shard}", key[order], [c[order]])
         at = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
         c = c.astype(np.int64)
         sums = [np.add.reduceat(x.astype(np.int64), at) for x in (c, c == 1, c == 2, c > 2)]
         word, times = np.unique(w, return_counts=True)
         up = np.uint64(64 - SHORT)
-        facts = pa.RecordBatch.from_arrays([pa.array(["facts"]), pa.array([-1], pa.int32()), pa.array([packed(np.bincount(np.minimum(c, 5), minlength=6))], pa.binary())], names=["kind", "shard", "blob"])
+        facts = pa.RecordBatch.from_arrays([pa.array(["facts"]), pa.array([shard], pa.int32()), pa.array([packed(np.bincount(np.minimum(c, 5), minlength=6))], pa.binary())], names=["kind", "shard", "blob"])
         return pa.Table.from_batches([sent("contexts", v[at] << up, [v[at], *sums], shards), sent("continuations", word << up, [word, times], shards), facts])
 
-    passed = written(counted.where("kind = 'pairs'").groupBy("shard").applyInArrow(merge_pairs, "kind string, shard int, blob binary"), "passed")
+    blobs = "kind string, shard int, blob binary"
+    passed = written(docs.mapInArrow(count, blobs).groupBy("kind", "shard").applyInArrow(merge, blobs), "passed")
 
     def merge_words(group):
         shard = group.column("shard")[0].as_py()
@@ -252,18 +287,21 @@ def fit(docs: DataFrame, text_column: str = "text", shards: int | None = None) -
             at = np.minimum(np.searchsorted(own, tops), max(0, len(own) - 1))
             if len(own):
                 columns[1 + k] = np.where(own[at] == tops, values[at].astype(np.int64), 0)
-        save(folder, f"words-{shard}-hash", hashes)
-        for k in range(6):
-            save(folder, f"words-{shard}-{k}", columns[k].astype(np.uint32))
-        counts = np.concatenate([[c.sum(), len(h), columns[1].sum()], np.bincount(np.minimum(columns[1], 5), minlength=6)])
+        save(folder, f"words-{shard}", hashes, list(columns))
+        counts = np.concatenate([[shard, c.sum(), len(h), columns[1].sum()], np.bincount(np.minimum(columns[1], 5), minlength=6)])
         return pa.table({"facts": pa.array([counts.astype(np.int64).tolist()], pa.list_(pa.int64()))})
 
-    rows = counted.where("kind = 'words'").unionByName(passed.where("kind <> 'facts'"))
-    totals = np.sum([r["facts"] for r in rows.groupBy("shard").applyInArrow(merge_words, "facts array<long>").collect()] or [[0] * 9], axis=0).tolist()
-    bigram = np.sum([unpacked(bytes(r["blob"]), 1)[0] for r in passed.where("kind = 'facts'").collect()] or [[0] * 6], axis=0).tolist()  # a row for each shard
-    dropped(counted, passed)
+    by_words = [r["facts"] for r in passed.where("kind <> 'facts'").groupBy("shard").applyInArrow(merge_words, "facts array<long>").collect()]  # a row for each shard
+    by_pairs = passed.where("kind = 'facts'").select("shard", "blob").collect()  # a row for each shard
+    totals = np.sum([f[1:] for f in by_words] or [[0] * 9], axis=0).tolist()
+    bigram = np.sum([unpacked(bytes(r["blob"]), 1)[0] for r in by_pairs] or [[0] * 6], axis=0).tolist()
+    dropped(passed)
     continued = totals[3:]
-    return folder, {"shards": shards, "tokens": int(totals[0]), "distinct": int(totals[1]), "continuations": int(totals[2]), "continued": (0, continued[1], continued[2], sum(continued[3:])), "discounts": tuple(discounts([int(x) for x in bigram])), "continuation_discounts": tuple(discounts(continued))}
+    return folder, {
+        "shards": shards, "tokens": int(totals[0]), "distinct": int(totals[1]), "continuations": int(totals[2]), "continued": (0, continued[1], continued[2], sum(continued[3:])),
+        "discounts": tuple(discounts([int(x) for x in bigram])), "continuation_discounts": tuple(discounts(continued)),
+        "words_shards": tuple(sorted(f[0] for f in by_words)), "pairs_shards": tuple(sorted(r["shard"] for r in by_pairs)),
+    }
 
 
 def score(docs: DataFrame, folder: str, facts: dict, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
