@@ -40,7 +40,7 @@ TRIES, BLOCK = 96, 512
 PARTNERS = 8
 #: So many of the smallest hashes stand for a larger set, and share of them in common below which a pair can't be linked (more than five standard deviations off).
 FEW, LEAST_COMMON = 256, 0.61
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _TRY = (mix(np.arange(BINS * TRIES, dtype=np.uint64) + np.uint64(77)) % np.uint64(BINS)).astype(np.int64).reshape(BINS, TRIES)
 
