@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from folia.llm import byte_bpe, language_id, minhash, ngram_model, packing, quality_rules, spot_signatures, token_count, vocabulary
+from folia.llm import byte_bpe, language_id, minhash, ngram_model, packing, quality_rules, spot_signatures, token_count, toxicity, vocabulary
 
 DATA = "/root/testdata/sf0.001"
 ODD = [None, "", " ", "\n\n", "one", "It's we'll 'x '' !!", "é日本 ²½ ß", "a" * 5000, "x<|endoftext|>y", "the cat " * 40, "the cat " * 40]
@@ -180,3 +180,43 @@ def test_small_sets_whose_signatures_disagree(spark):
     rows = list(enumerate(texts))
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(dict(rows))
+
+
+def test_nearest_against_brute_force(docs):
+    texts = sorted({r.text or "" for r in docs.limit(150).collect()})
+    labels = [zlib.crc32(t.encode()) % 3 == 0 for t in texts]
+    index = toxicity.index_of([t.encode() for t in texts[:100]], labels[:100], list(range(100)), (40, 60))
+    number = {i: k for k, i in enumerate(index.ids)}
+    plain = {}
+    for i in range(100):
+        counts = toxicity.counted(texts[i].encode())
+        raw = {t: (1 + math.log(n)) * index.weight[index.number[t]] for t, n in counts.items()}
+        norm = math.sqrt(sum(w * w for w in raw.values())) or 1.0
+        plain[number[i]] = {t: w / norm for t, w in raw.items()}
+    for text in texts[95:]:
+        counts = {index.number[t]: n for t, n in toxicity.counted(text.encode()).items() if t in index.number}
+        raw = {t: (1 + math.log(n)) * index.weight[t] for t, n in counts.items()}
+        norm = math.sqrt(sum(w * w for w in raw.values())) or 1.0
+        own = {list(index.number)[t]: w / norm for t, w in raw.items()}
+        want = sorted(((-round(sum(w * v.get(t, 0.0) for t, w in own.items()), 12), k) for k, v in plain.items()))
+        want = [(k, -c) for c, k in want if -c >= toxicity.LEAST_COSINE][: toxicity.NEIGHBOURS]
+        found, cosines = index.nearest(counts)
+        assert found.tolist() == [k for k, _ in want] and cosines == pytest.approx([c for _, c in want])
+
+
+def test_toxicity_of_odd_tables(odd, spark):
+    labels = spark.createDataFrame([(0, 0), (4, 1), (4, 0), (9, 1), (None, 1), (5, None), (77, 1)], "doc_id long, toxic int")
+    rows = {r.doc_id: r for r in toxicity.score(odd, toxicity.fit(odd, labels)).collect()}
+    assert len(rows) == len(ODD) and all(0 <= r.score <= 1 for r in rows.values())
+    assert rows[9].score == rows[10].score and rows[9].neighbours[0] in (9, 10) and rows[0].neighbours == [] and rows[0].score == rows[1].score
+    assert {r.score for r in toxicity.score(odd, toxicity.fit(odd, labels.limit(0))).collect()} == {0.0}
+    assert toxicity.score(odd.limit(0), None).count() == 0
+
+
+def test_toxicity_is_calibrated(spark):
+    from folia.llm import queries
+
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = queries.op3_toxicity(spark, "/root/testdata/sf0.01").join(labels, "doc_id").where("held_out").select("score", "toxic").collect()
+    share = sum(r.toxic for r in rows) / len(rows)
+    assert sum((r.score - r.toxic) ** 2 for r in rows) / len(rows) < 0.5 * share * (1 - share)
