@@ -29,6 +29,8 @@ MOST_ROWS, MOST_FEATURES = 1500, 6000
 TEMPER, MOST_WORDS, DECLARED, ADDRESS = 0.5, 200, 2.0, 1.5
 #: Rows a prior counts for at each level, and the posterior a row needs.
 SMOOTH, LEAST = 20.0, 0.6
+#: Languages that are told apart; more are refused.
+MOST_LANGUAGES = 256
 CACHE_WORDS = 300_000
 SLICE_BYTES = 8 << 20
 WORD = re.compile(r"[^\W\d_]+")
@@ -61,7 +63,9 @@ class Likelihoods:
 
 def fit(docs: DataFrame, language_column: str = "lang", text_column: str = "text", id_column: str = "doc_id", most: int = MOST_ROWS) -> Likelihoods:
     """Feature shares of each language from at most `most` rows of it, those with the smallest id hash."""
-    counts = docs.where(F.col(language_column).isNotNull()).groupBy(language_column).count().orderBy(F.desc("count"), language_column).limit(64).collect()
+    counts = docs.where(F.col(language_column).isNotNull()).select(language_column).distinct().limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"{language_column} has more than {MOST_LANGUAGES} values")
     languages = sorted(r[language_column] for r in counts)
     if not languages:
         return Likelihoods(["und"], [], np.zeros((1, 0)))
@@ -173,7 +177,10 @@ def page_evidence(pages: DataFrame, languages: list[str]) -> DataFrame:
 
 
 def keep(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """The rows whose language is clear, with their own columns; rows of one id share its answer, those without an id go by their text's own row."""
+    """The rows whose language is clear, with their own columns, from columns text, source and lang. Rows of one id share its best answer; rows without an id share one if text and source are equal."""
     model = fit(docs, id_column=id_column)
-    gone = identify(document_evidence(docs, id_column), model).groupBy("key").agg(F.max("kept").alias("k")).where(~F.col("k")).select(F.col("key").alias("_gone"))
-    return docs.join(gone, docs[id_column].eqNullSafe(gone["_gone"]), "left_anti")
+    own = F.sha2(F.to_json(F.struct(F.col("text").alias("t"), F.col("source").alias("s"))), 256)
+    key = F.when(F.col(id_column).isNull(), F.concat(F.lit("="), own)).otherwise(F.concat(F.lit("#"), F.col(id_column).cast("string")))
+    keyed = docs.withColumn("_key", key)
+    gone = identify(document_evidence(keyed, "_key"), model).groupBy("key").agg(F.max("kept").alias("k")).where(~F.col("k")).select(F.col("key").alias("_gone"))
+    return keyed.join(gone, keyed["_key"] == gone["_gone"], "left_anti").drop("_key")

@@ -284,6 +284,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def keep(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows whose document stands for its component, with their own columns."""
-    gone = near_duplicates(docs, id_column, text_column).where(~F.col("kept")).select(F.col(id_column).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_column] == gone["_gone"], "left_anti")
+    """One row of each document that stands for its component, with its own columns; of several rows with one id the one with the smallest text. Rows without an id stay."""
+    known = written(near_duplicates(docs, id_column, text_column).select(F.col(id_column).alias("_id"), "kept").where(F.col("_id").isNotNull()).groupBy("_id").agg(F.count(F.lit(1)).alias("rows"), F.min("kept").alias("kept")).where("rows > 1 or not kept"), "verdicts")
+    single = docs.join(known, docs[id_column] == known["_id"], "left_anti")
+    several = docs.join(known.where("kept"), docs[id_column] == known["_id"]).groupBy("_id").agg(F.min_by(F.struct(*[docs[c] for c in docs.columns]), F.coalesce(docs[text_column], F.lit(""))).alias("_row"))
+    return single.unionByName(several.select("_row.*"))

@@ -35,13 +35,15 @@ def shape(word: str) -> str:
         k = "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c
         if not out.endswith(k):
             out += k
-    return out[:8]
+    return out
 
 
 def features_of(word: bytes, known: Cache) -> tuple[int, ...]:
     if (found := known.get(word)) is None:
         text = word.decode()
-        found = known[word] = tuple(zlib.crc32(f.encode()) % BUCKETS for f in (f"w {text.lower()[:24]}", f"e {text[-2:].lower()}", f"s {shape(text)}"))
+        found = tuple(zlib.crc32(f.encode()) % BUCKETS for f in (f"w {text.lower()}", f"e {text[-2:].lower()}", f"s {shape(text)}"))
+        if len(word) <= 64:  # long strings rarely come again
+            known[word] = found
     return found
 
 

@@ -14,6 +14,7 @@ fingerprints. Repeated rows are each answered.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -22,8 +23,8 @@ from pyspark.sql.window import Window
 
 from folia.llm.quality_rules import STOP_WORDS
 
-#: Content words in a chain.
-CHAIN = 3
+#: Content words in a chain; likeness below which the set lengths alone decide that two documents aren't alike (0).
+CHAIN, LEAST_LIKENESS = 3, 0.1
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 FIRST_ID = -(1 << 63)
 
@@ -81,17 +82,26 @@ def similar(docs: DataFrame, threshold: float = 0.75, id_column: str = "doc_id",
     return members, pairs.where(F.col("likeness") >= threshold)
 
 
+def slice_of(key: Column, bounds: list[int]) -> Column:
+    """How many of the sorted bounds a key reaches: whole runs of them first, then those of one run."""
+    if len(bounds) < 32:
+        return reduce(lambda a, b: a + b, [(key >= b).cast("int") for b in bounds], F.lit(0))
+    width = math.isqrt(len(bounds))
+    runs = [bounds[k : k + width] for k in range(0, len(bounds), width)]
+    at = F.size(F.filter(F.array(*[F.lit(r[0]) for r in runs]), lambda b: b <= key))
+    run = F.get(F.array(*[F.array(*map(F.lit, r)) for r in runs]), at - 1)
+    return F.when(at == 0, F.lit(0)).otherwise((at - 1) * width + F.size(F.filter(run, lambda b: b <= key)))
+
+
 def with_next(rows: DataFrame, id_column: str, columns: list[str]) -> DataFrame:
     """Adds next_<column>: the values of the following row in descending id, of the first row after the last.
 
-    Ids are cut into slices of about equal counts at quantiles (at most a few hundred, on the driver); each slice is sorted on its own and ends with a copy of the first row of the slice after it. Ties of an id follow the hash of the row's text; null ids come last."""
+    Ids are cut into slices of about equal counts at quantiles, as many as there are shuffle partitions; each slice is sorted on its own and ends with a copy of the first row of the slice after it. Ties of an id follow the hash of the row's text; null ids come last."""
     spark = rows.sparkSession
     key = F.coalesce(F.col(id_column).cast("long"), F.lit(FIRST_ID))
-    n = min(512, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    cuts = rows.select(F.percentile_approx(key, [k / n for k in range(1, n)] or [0.5], 10_000).alias("q")).first()["q"] or []
-    bounds = sorted(set(cuts))
-    part = reduce(lambda a, b: a + b, [(key >= b).cast("int") for b in bounds], F.lit(0)) if len(bounds) < 32 else F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= key))
-    rows = rows.withColumn("_key", key).withColumn("_slice", part.cast("int")).withColumn("_copy", F.lit(False))
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cuts = rows.select(F.percentile_approx(key, [k / n for k in range(1, n)] or [0.5], max(10_000, 8 * n)).alias("q")).first()["q"] or []
+    rows = rows.withColumn("_key", key).withColumn("_slice", slice_of(F.col("_key"), sorted(set(cuts)))).withColumn("_copy", F.lit(False))
     tops = sorted(rows.groupBy("_slice").agg(F.max("_key").alias("top")).collect())  # a row for each slice
     if not tops:
         return rows.drop("_key", "_slice", "_copy").withColumns({f"next_{c}": F.col(c) for c in columns})
@@ -115,5 +125,5 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         out = with_signatures(out, text, name)
     return out.select(
         id_column, n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("changed")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"), third.cast("long").alias("n_replaced"),
+        likeness(F.col("own"), F.col("changed"), LEAST_LIKENESS).alias("near_edited"), likeness(F.col("own"), F.col("following"), LEAST_LIKENESS).alias("near_next"), third.cast("long").alias("n_replaced"),
     )

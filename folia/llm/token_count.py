@@ -35,7 +35,7 @@ END = "</w>"
 START, LETTERS, OTHERS, APOSTROPHE = 0, 1, 2, 3
 #: Bits of a packed transition that hold the emitted count, which may be below 0.
 EMIT_BITS, EMIT_ZERO = 8, 64
-#: Sizes of the transition table; the table is emptied when full.
+#: Sizes of the transition table. It is emptied before a batch when it has MOST_STATES; inside a batch, stretches that need states beyond twice as many are run letter by letter without keeping them.
 MOST_STATES, MOST_SYMBOLS = 1 << 17, 160
 #: Characters of a chunk, and bytes of text run at once.
 CHUNK, SLICE_BYTES = 512, 3 << 20
@@ -179,6 +179,7 @@ class Transducer:
         at, to, state = starts[order], ends[order], states[order].astype(np.int64)
         lengths = to - at
         alive = len(at)
+        alone: dict[int, tuple[int, tuple]] = {}  # stretches to be run by themselves: from which place, in which state
         for k in range(int(lengths[0]) if alive else 0):
             while alive and lengths[alive - 1] <= k:
                 alive -= 1
@@ -189,9 +190,16 @@ class Transducer:
             for i in unknown.tolist():
                 s, x = int(state[i]), int(symbol[i])
                 known = int(self.table[s, x]) if x < MOST_SYMBOLS else self.far.get((s, x), -1)
+                if known < 0 and (i in alone or len(self.keys) > 2 * self.most_states):
+                    alone.setdefault(i, (int(where[i]), self.keys[s]))
+                    known = START << EMIT_BITS | EMIT_ZERO
                 packed[i] = known if known >= 0 else self.transition(s, x)
             state[:alive] = packed >> EMIT_BITS
             emitted[where] = (packed & (1 << EMIT_BITS) - 1) - EMIT_ZERO
+        for i, (place, key) in alone.items():
+            for here in range(place, int(to[i])):
+                emitted[here], key = self.go(key, *self.symbols[symbols[here]])
+            state[i] = self.intern(key)
         out = np.empty_like(state)
         out[order] = state
         return out

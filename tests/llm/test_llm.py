@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from folia.llm import byte_bpe, language_id, minhash, ngram_model, packing, quality_rules, spot_signatures, token_count, toxicity, vocabulary
+from folia.llm import byte_bpe, language_id, minhash, ngram_model, ordinal_quality, packing, quality_rules, spot_signatures, token_count, toxicity, vocabulary
 
 DATA = "/root/testdata/sf0.001"
 ODD = [None, "", " ", "\n\n", "one", "It's we'll 'x '' !!", "é日本 ²½ ß", "a" * 5000, "x<|endoftext|>y", "the cat " * 40, "the cat " * 40]
@@ -220,3 +220,41 @@ def test_toxicity_is_calibrated(spark):
     rows = queries.op3_toxicity(spark, "/root/testdata/sf0.01").join(labels, "doc_id").where("held_out").select("score", "toxic").collect()
     share = sum(r.toxic for r in rows) / len(rows)
     assert sum((r.score - r.toxic) ** 2 for r in rows) / len(rows) < 0.5 * share * (1 - share)
+
+
+def test_slices_of_many_bounds(spark):
+    bounds = list(range(0, 700, 7))
+    rows = spark.range(-5, 720).select("id", spot_signatures.slice_of(F.col("id"), bounds).alias("s")).collect()
+    assert all(r.s == sum(b <= r.id for b in bounds) for r in rows)
+
+
+def test_states_stay_bounded():
+    rng = np.random.default_rng(11)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz'"))
+    texts = ["".join(rng.choice(letters, 3000)) + " end it's " + "".join(rng.choice(letters, 1500)) for _ in range(3)]
+    machine = token_count.Transducer(vocabulary.path(vocabulary.WORD_BPE), most_states=50)
+    got = machine.counts(texts)
+    assert got.tolist() == [len(machine.tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert len(machine.keys) < 300
+
+
+def test_quality_filter_on_long_texts(odd, spark):
+    long = spark.createDataFrame([(50, " ".join(f"the w{k}" for k in range(10_000)), "en", "s", "z"), (51, "the end of it is " * 4000, "en", "s", "z")], odd.schema)
+    rows = odd.unionByName(long).unionByName(long)
+    verdicts = {r.doc_id: r.kept for r in quality_rules.score(rows).collect()}
+    assert verdicts[50] and not verdicts[51]
+    assert Counter(r.doc_id for r in quality_rules.keep(rows).collect()) == Counter(k for k in [*verdicts, 50, 51] if verdicts[k])
+    assert quality_rules.score(rows).where("kept").count() == quality_rules.keep(rows).count()
+
+
+def test_ordinal_grades():
+    rng = np.random.default_rng(2)
+    words = {0: ["aa!!", "bb!!", "cc!!"], 1: ["so", "mid", "way"], 2: ["fine", "prose", "here"]}
+    grades = [k % 3 for k in range(150)]
+    known = ordinal_quality.Cache(1000)
+    bags = [ordinal_quality.bag(" ".join(rng.choice(words[g], 12)).encode(), known) for g in grades]
+    model = ordinal_quality.fitted(bags, np.array(grades), np.ones(150), [0, 1, 2])
+    assert (np.diff(model.thresholds) > 0).all()
+    scores = np.array([model.weights[a] @ v for a, v in bags])
+    tails, expected = model.tails(scores), model.expected(scores)
+    assert (tails[:, 0] >= tails[:, 1]).all() and (np.rint(expected) == grades).mean() > 0.95
