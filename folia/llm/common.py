@@ -58,6 +58,16 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The same rows with columns c0, c1, ..., so that a stage's own names can't clash with theirs."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
+
+def place(docs: DataFrame, name: str) -> str:
+    """What numbered() calls a column."""
+    return f"c{docs.columns.index(name)}"
+
+
 def remainder(column: str, n: int):
     """crc32 of the id as text, mod n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n

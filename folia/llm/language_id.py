@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folia.llm.common import Cache, slices, text_buffers
+from folia.llm.common import Cache, numbered, place, slices, text_buffers
 
 #: Rows of each language that the likelihoods are learnt from, and features kept of each.
 MOST_ROWS, MOST_FEATURES = 1500, 6000
@@ -179,8 +179,10 @@ def page_evidence(pages: DataFrame, languages: list[str]) -> DataFrame:
 def keep(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """The rows whose language is clear, with their own columns, from columns text, source and lang. Rows of one id share its best answer; rows without an id share one if text and source are equal."""
     model = fit(docs, id_column=id_column)
-    own = F.sha2(F.to_json(F.struct(F.col("text").alias("t"), F.col("source").alias("s"))), 256)
-    key = F.when(F.col(id_column).isNull(), F.concat(F.lit("="), own)).otherwise(F.concat(F.lit("#"), F.col(id_column).cast("string")))
-    keyed = docs.withColumn("_key", key)
-    gone = identify(document_evidence(keyed, "_key"), model).groupBy("key").agg(F.max("kept").alias("k")).where(~F.col("k")).select(F.col("key").alias("_gone"))
-    return keyed.join(gone, keyed["_key"] == gone["_gone"], "left_anti").drop("_key")
+    rows = numbered(docs)
+    at, text, source = (F.col(place(docs, c)) for c in (id_column, "text", "source"))
+    own = F.sha2(F.to_json(F.struct(text.alias("t"), source.alias("s"))), 256)
+    rows = rows.withColumn("_key", F.when(at.isNull(), F.concat(F.lit("="), own)).otherwise(F.concat(F.lit("#"), at.cast("string"))))
+    seen = document_evidence(rows.select("_key", text.alias("text"), source.alias("source")), "_key")
+    gone = identify(seen, model).groupBy("key").agg(F.max("kept").alias("k")).where(~F.col("k")).select(F.col("key").alias("_gone"))
+    return rows.join(gone, F.col("_key") == F.col("_gone"), "left_anti").drop("_key").toDF(*docs.columns)

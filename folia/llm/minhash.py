@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folia.llm.common import dropped, slices, text_buffers, written
+from folia.llm.common import dropped, numbered, place, slices, text_buffers, written
 from folia.llm.hashing import mix, sequences, word_hashes
 
 WORDS, BINS, ROWS = 5, 256, 5
@@ -285,7 +285,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def keep(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row of each document that stands for its component, with its own columns; of several rows with one id the one with the smallest text. Rows without an id stay."""
-    known = written(near_duplicates(docs, id_column, text_column).select(F.col(id_column).alias("_id"), "kept").where(F.col("_id").isNotNull()).groupBy("_id").agg(F.count(F.lit(1)).alias("rows"), F.min("kept").alias("kept")).where("rows > 1 or not kept"), "verdicts")
-    single = docs.join(known, docs[id_column] == known["_id"], "left_anti")
-    several = docs.join(known.where("kept"), docs[id_column] == known["_id"]).groupBy("_id").agg(F.min_by(F.struct(*[docs[c] for c in docs.columns]), F.coalesce(docs[text_column], F.lit(""))).alias("_row"))
-    return single.unionByName(several.select("_row.*"))
+    rows, at, text = numbered(docs), place(docs, id_column), place(docs, text_column)
+    seen = near_duplicates(rows, at, text).select(F.col(at).alias("_id"), "kept").where(F.col("_id").isNotNull())
+    known = written(seen.groupBy("_id").agg(F.count(F.lit(1)).alias("_rows"), F.min("kept").alias("_kept")).where("_rows > 1 or not _kept"), "verdicts")
+    same = F.col(at) == F.col("_id")
+    single = rows.join(known, same, "left_anti")
+    several = rows.join(known.where("_kept"), same).groupBy("_id").agg(F.min_by(F.struct(*rows.columns), F.coalesce(text, F.lit(""))).alias("_row"))
+    return single.unionByName(several.select("_row.*")).toDF(*docs.columns)

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folia.llm.common import numbered, place
+
 #: Frequent function words of the four languages.
 STOP_WORDS = {
     "en": "the of and to a in is that it for was on with be as by this at are from an not or have had but his they which you".split(),
@@ -118,10 +120,8 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
 def keep(docs: DataFrame, text_column: str = "text", thresholds: list[tuple] = THRESHOLDS) -> DataFrame:
     """The rows that pass, with their own columns."""
-    own = docs.columns
-    renamed = docs.toDF(*[f"c{i}" for i in range(len(own))])
-    out = measured(renamed, f"c{own.index(text_column)}").where(~base_failed() & verdict(thresholds))
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(own)])
+    out = measured(numbered(docs), place(docs, text_column)).where(~base_failed() & verdict(thresholds))
+    return out.select(*[f"c{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
 
 
 def oracle_sql(thresholds: list[tuple] = THRESHOLDS) -> str:
