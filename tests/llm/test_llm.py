@@ -258,3 +258,61 @@ def test_ordinal_grades():
     scores = np.array([model.weights[a] @ v for a, v in bags])
     tails, expected = model.tails(scores), model.expected(scores)
     assert (tails[:, 0] >= tails[:, 1]).all() and (np.rint(expected) == grades).mean() > 0.95
+
+
+def kneser_ney(sequences):
+    """The interpolated modified Kneser-Ney bigram model by its definition; gives the probability of a word after another."""
+    start, end = "<start>", "<end>"
+    pairs, words = Counter(), Counter()
+    for s in sequences:
+        before = start
+        for w in [*s, end]:
+            pairs[before, w] += 1
+            words[w] += 1
+            before = w
+    contexts = {}
+    for (v, _), c in pairs.items():
+        contexts.setdefault(v, []).append(c)
+    continuations = Counter(w for _, w in pairs)
+
+    def discount(counts):
+        t = [sum(1 for c in counts if c == k) for k in range(5)]
+        y = t[1] / (t[1] + 2 * t[2]) if t[1] + 2 * t[2] else 0.0
+        return [0.0] + [min(float(k), max(0.1, k - (k + 1) * y * t[k + 1] / t[k] if t[k] else k / 2)) for k in (1, 2, 3)]
+
+    d, e = discount(list(pairs.values())), discount(list(continuations.values()))
+    total = sum(continuations.values())
+    spare_lower = sum(e[min(c, 3)] for c in continuations.values()) / total
+
+    def p(v, w):
+        lower = max(0.0, continuations[w] - e[min(continuations[w], 3)]) / total + spare_lower / (len(words) + 1)
+        if v not in contexts:
+            return lower
+        n = sum(contexts[v])
+        return max(0.0, pairs[v, w] - d[min(pairs[v, w], 3)]) / n + sum(d[min(c, 3)] for c in contexts[v]) / n * lower
+
+    return p, [*words, "<unseen>"], contexts
+
+
+def test_language_model_against_its_definition(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(list("abcdefg"), rng.integers(0, 30), p=[0.4, 0.25, 0.15, 0.1, 0.05, 0.03, 0.02])) for _ in range(40)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    folder, facts = ngram_model.fit(rows, shards=4)
+    p, words, contexts = kneser_ney([t.split() for t in texts])
+    for v in [*contexts, "nowhere"]:
+        assert sum(p(v, w) for w in words) == pytest.approx(1.0)
+    asked = [*texts, "zz a zz b", "h", None]
+    for r in ngram_model.score(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), folder, facts).collect():
+        words = ["<start>", *(asked[r.doc_id] or "").split(), "<end>"]
+        want = sum(math.log10(p(v, w)) for v, w in zip(words, words[1:]))
+        assert r.score == pytest.approx(want, rel=1e-9) and r.perplexity == pytest.approx(10 ** (-want / (len(words) - 1)))
+    import os
+
+    os.remove(f"{folder}/words-{facts['words_shards'][0]}")
+    with pytest.raises(Exception, match="No such file"):
+        ngram_model.score(rows, folder, facts | {"opened": 2}).collect()
+    other = ngram_model.fit(rows.repartition(1), shards=8)
+    assert {k: v for k, v in other[1].items() if "shards" not in k} == {k: v for k, v in facts.items() if "shards" not in k}
+    empty = ngram_model.fit(rows.limit(0))
+    assert all(r.score < 0 for r in ngram_model.score(rows, *empty).collect())
