@@ -10,7 +10,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-QUERIES = ["page_profile", "attribute_lists", "scalar_text", "already_english", "page_split", "greedy_batches", "first_and_last_wins", "dangling_refs", "positional_alignment", "violations", "top_lines", "cache_probe", "vocabulary_semi_join", "html_blocks"]
+QUERIES = ["page_profile", "attribute_lists", "scalar_text", "page_split", "greedy_batches", "first_and_last_wins", "dangling_refs", "positional_alignment", "violations", "top_lines", "cache_probe", "vocabulary_semi_join", "html_blocks", "already_english_all_words", "fragments_put_back", "compared_chapters"]
 
 
 def main() -> None:

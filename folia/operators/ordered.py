@@ -51,3 +51,18 @@ def inserted(old: Column, new: Column) -> Column:
 def slice_around(text: Column, at: Column, width: int = 60) -> Column:
     """The characters within `width` of a 0-based place."""
     return F.substring(text, F.greatest(F.lit(1), at - (width - 1)), F.lit(width) + F.least(at, F.lit(width)))
+
+
+def split_at(text: Column, marker: str) -> Column:
+    """The text cut before each marker; the first piece is what stands before the first, empty if nothing does."""
+    return F.split(F.replace(text, F.lit(marker), F.lit("\1" + marker)), "\1")
+
+
+def volume_files(volumes: DataFrame, key: str, text: str, marker: str = "\\chapter") -> DataFrame:
+    """(key, file, src): a source cut at its chapters, chapter-001 and so on, and main, which holds what stands before the first and inputs each."""
+    name = lambda i: F.concat(F.lit("chapter-"), F.lpad(i.cast("string"), 3, "0"))
+    pieces = volumes.select(key, split_at(F.col(text), marker).alias("p"))
+    inputs = F.transform(F.when(F.size("p") > 1, F.sequence(F.lit(1), F.size("p") - 1)).otherwise(F.array().cast("array<int>")), lambda i: F.concat(F.lit("\\input{"), name(i), F.lit("}\n")))
+    main = F.array(F.struct(F.lit("main").alias("file"), F.concat(F.get("p", F.lit(0)), F.array_join(inputs, "")).alias("src")))
+    rest = F.transform(F.slice("p", F.lit(2), F.size("p")), lambda c, i: F.struct(name(i + 1).alias("file"), c.alias("src")))
+    return pieces.select(key, F.inline(F.concat(main, rest)))

@@ -7,6 +7,7 @@ Null in, null out. A text without a fault comes back unchanged.
 import re
 
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: What makes the content of a group with a plain closer a formula: a command or a script, or a single letter other than "i".
@@ -98,22 +99,89 @@ def is_math(inner: str) -> bool:
     return bool(re.search(r"\\[a-zA-Z]{2,}|[\^_=/(]|&lt;|&gt;", c) or re.fullmatch(r"[A-Za-z]['′]*([,;:][ ]?[A-Za-z]['′]*)+", c))
 
 
-def wrap_bare(text: str) -> tuple[str, list[str]]:
-    """Outermost balanced groups outside math, tags and comments that hold a formula become math; other groups are searched inside."""
-    masked = MASKED.sub(lambda m: "\0" * len(m[0]), text)
-    opened, closers = [], {}
+def paired(masked: str) -> list[tuple[int, int]]:
+    """Places of matching parentheses, by their openers; those without a partner are left out."""
+    opened, out = [], []
     for m in re.finditer("[()]", masked):
         if m[0] == "(":
             opened.append(m.start())
         elif opened:
-            closers[opened.pop()] = m.start()
-    out, log, last = list(text), [], -1
-    for a in sorted(closers):
-        b = closers[a]
-        if a > last and is_math(masked[a + 1 : b]):
+            out.append((opened.pop(), m.start()))
+    return sorted(out)
+
+
+def unwrapped(content: str) -> str:
+    """Inline math delimiters as plain parentheses."""
+    return content.replace("\\(", "(").replace("\\)", ")")
+
+
+def edited(text: str, edits: list[tuple[int, int, str]]) -> str:
+    """Replaces spans that don't overlap; places are those of the text before any edit."""
+    out, last = [], 0
+    for a, b, new in sorted(edits):
+        out += [text[last:a], new]
+        last = b
+    return "".join(out) + text[last:]
+
+
+def holds_residue(residue: str) -> bool:
+    """Whether what stands around whole formulas in a group is mathematics too, and no prose."""
+    return STOP.isdisjoint(WORD.findall(re.sub(r"\\[a-zA-Z]+", " ", residue))) and bool(re.search(r"\\[a-zA-Z]{2,}|[\^_=]", residue)) and bool(CHARSET.match(residue or "x"))
+
+
+def wrap_bare(text: str, merge: bool = False) -> tuple[str, list[str]]:
+    """Outermost balanced groups outside math, tags and comments that hold a formula get inline delimiters for their parentheses; other groups are searched inside. With merge, a group of formulas and raw mathematics becomes one formula, the delimiters inside it dropped."""
+    masked = MASKED.sub(lambda m: "\0" * len(m[0]), text)
+    edits, log, last = [], [], -1
+    for a, b in paired(masked):
+        if a <= last:
+            continue
+        inner = masked[a + 1 : b]
+        if is_math(inner):
+            edits += [(a, a + 1, "\\("), (b, b + 1, "\\)")]
             log.append(text[a + 1 : b])
-            out[a], out[b], last = "\\((", ")\\)", b
-    return "".join(out), log
+            last = b
+        elif merge and "\0" in inner and holds_residue(inner.replace("\0", "")):
+            edits.append((a, b + 1, "\\(" + re.sub(r"\\(?=[()])", "", text[a + 1 : b]) + "\\)"))
+            log.append(f"merged: {text[a + 1 : b]}")
+            last = b
+    return edited(text, edits), log
+
+
+#: What stands directly before an inner delimiter only inside a formula.
+ADJACENT = re.compile(r"[A-Za-z0-9}=_^|/+\-'′]\\\(")
+HIDDEN = re.compile(r"(?s)<!--.*?-->|(?<!\\)\\\[.*?(?<!\\)\\\]|<[^>]+>")
+
+
+def swap_delimiters(text: str) -> tuple[str, list[str]]:
+    """Plain groups around inline delimiters that should have stood outside: where a delimiter follows a letter or sign without a blank, or raw mathematics stands outside the inner formulas, and no prose does, the group becomes one formula with plain parentheses inside. Groups inside a formula are searched, those inside a plain group aren't."""
+    masked = HIDDEN.sub(lambda m: "\0" * len(m[0]), text)
+    edits, log, last = [], [], -1
+    for a, b in paired(masked):
+        if a <= last or masked[a - 1 : a] == "\\":
+            continue
+        last = b
+        inner = masked[a + 1 : b]
+        if "\0" in inner or "\\(" not in inner:
+            continue
+        outside = re.sub(r"(?s)\\\(.*?\\\)", " ", inner)
+        if (ADJACENT.search(inner) or TEXISH.search(outside)) and STOP.isdisjoint(WORD.findall(re.sub(r"\\[a-zA-Z]+", " ", outside))):
+            edits.append((a, b + 1, "\\(" + unwrapped(text[a + 1 : b]) + "\\)"))
+            log.append(text[a : b + 1])
+    return edited(text, edits), log
+
+
+def point_fixed(rows: DataFrame, fixes: DataFrame, key: str = "chapter_id", text: str = "src") -> DataFrame:
+    """Literal replacements (key, ord, old, new) in the texts of their key, in order, one after the other; adds hits: how often each was found, 0 for a miss."""
+    lists = fixes.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("ord", "old", "new"))).alias("_fixes"))  # a short list for each text
+    start = F.struct(F.col(text).alias("t"), F.array().cast("array<int>").alias("hits"))
+
+    def step(a, x):
+        n = (F.length(a["t"]) - F.length(F.replace(a["t"], x["old"], F.lit("")))) / F.length(x["old"])
+        return F.struct(F.replace(a["t"], x["old"], x["new"]).alias("t"), F.concat(a["hits"], F.array(n.cast("int"))).alias("hits"))
+
+    done = rows.join(lists, key, "left").withColumn("_done", F.aggregate(F.coalesce("_fixes", F.array().cast("array<struct<ord:int,old:string,new:string>>")), start, step))
+    return done.select(*[F.col("_done.t").alias(c) if c == text else F.col(c) for c in rows.columns], F.col("_done.hits").alias("hits"))
 
 
 def _column(f):
@@ -131,3 +199,11 @@ def repaired_delimiters(c):
 
 def wrapped_math(c):
     return _column(wrap_bare)(c)
+
+
+def merged_math(c):
+    return _column(lambda t: wrap_bare(t, merge=True))(c)
+
+
+def swapped_delimiters(c):
+    return _column(swap_delimiters)(c)

@@ -124,3 +124,55 @@ def slugs(titles):
         return column.map(lambda t: None if t is None else slug(t))
 
     return run(titles)
+
+
+def braced(text: str, at: int) -> int:
+    """The place after the brace that closes the one at `at`; -1 if none does. Escaped braces don't count."""
+    depth, i = 0, at
+    while i < len(text):
+        c = text[i]
+        if c == "\\":
+            i += 2
+            continue
+        depth += (c == "{") - (c == "}")
+        i += 1
+        if not depth:
+            return i
+    return -1
+
+
+def chosen(text: str, command: str, variant: int) -> str:
+    """Each \\command{first}{second} replaced by one of the two, variants inside it as well. A command without two closed arguments stays."""
+    start = re.compile(re.escape("\\" + command) + r"(?![A-Za-z])\s*\{")
+    out, done, ends = [], 0, []  # ends: where the arguments that are being read out end, and where the text goes on
+    at = 0
+    while True:
+        m = start.search(text, at)
+        while ends and (m is None or m.start() >= ends[-1][0]):
+            stop, after = ends.pop()
+            out.append(text[done:stop])
+            done = at = after
+            m = start.search(text, at)
+        if m is None:
+            return "".join(out) + text[done:]
+        first = m.end() - 1
+        middle = braced(text, first)
+        gap = re.compile(r"\s*\{").match(text, middle) if middle > 0 else None
+        end = braced(text, gap.end() - 1) if gap else -1
+        if end < 0:
+            at = m.end()
+            continue
+        begin, stop = (first + 1, middle - 1) if variant == 0 else (gap.end(), end - 1)
+        out.append(text[done : m.start()])
+        done = at = begin
+        ends.append((stop, end))
+
+
+def variants(c, command: str, variant: int = 1):
+    """The column with its variants resolved: 0 keeps the original, 1 the new reading."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else chosen(t, command, variant))
+
+    return run(c)

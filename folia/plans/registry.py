@@ -17,7 +17,7 @@ _ORACLES: dict[str, str] = {}
 GLOSSARY = [("the", "le"), ("of", "de"), ("and", "et"), ("der", "le"), ("und", "et")]
 EN = ["the", "of", "and", "to", "in", "is", "that", "it", "for", "was", "with", "are"]
 FR = ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "est", "que"]
-#: The whole word sets of the reference (sga4.5/scripts/translate_json_en.py).
+#: Function words of the two languages.
 ENGLISH = "the a an and or of to in is are was were for with that this from by on as be it its may most any used using should".split()
 FRENCH = "le la les un une des du de et ou dans est sont pour avec que qui par sur comme ce cette ces on il elle nous soit être tout".split()
 
@@ -33,12 +33,14 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from folia.plans import scanners  # registers itself
+    from folia.plans import chapters, scanners  # noqa: F401  (chapters registers itself)
 
     return _QUERIES | scanners.QUERIES
 
 
 def oracles() -> dict[str, str]:
+    from folia.plans import chapters  # noqa: F401  (registers itself)
+
     return dict(_ORACLES)
 
 
@@ -278,13 +280,7 @@ def retry_chunks(spark, sf_dir):
     return rows.groupBy("source", "chunk").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc"))
 
 
-@query("""SELECT doc_id, regexp_matches(text, '[a-z]') AS round_trip FROM documents WHERE contains(text, '$') OR doc_id % 10 = 0""".replace("regexp_matches(text, '[a-z]')", "TRUE"))
-def protect_restore(spark, sf_dir):
-    """Spans between dollar signs are protected and restored; the text must come back unchanged."""
-    return round_trips(table(spark, sf_dir, "documents").where(F.contains("text", F.lit("$")) | (F.col("doc_id") % 10 == 0)))
-
-
-@query()
+@query(r"""SELECT doc_id, NOT regexp_matches(text, '\[\[M[0-9]+\]\]') AS round_trip FROM documents""")
 def protect_restore_all(spark, sf_dir):
     """The same over every document; a test holds it to brute force."""
     return round_trips(table(spark, sf_dir, "documents"))

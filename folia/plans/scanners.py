@@ -25,6 +25,16 @@ def wrapped_math(spark, sf_dir) -> DataFrame:
     return docs.select("doc_id", repair.wrapped_math(F.col("text")).alias("d")).select("doc_id", F.md5("d.text").alias("text_md5"), F.size("d.log").alias("n_wrapped"))
 
 
+def swapped_math(spark, sf_dir) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.select("doc_id", repair.swapped_delimiters(F.col("text")).alias("d")).select("doc_id", F.md5("d.text").alias("text_md5"), F.size("d.log").alias("n_swapped"))
+
+
+def merged_math(spark, sf_dir) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.select("doc_id", repair.merged_math(F.col("text")).alias("d")).select("doc_id", F.md5("d.text").alias("text_md5"), F.size("d.log").alias("n_repairs"))
+
+
 def tex_events(spark, sf_dir) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return tex.event_rows(docs, "doc_id", "text")
@@ -35,4 +45,4 @@ def title_slugs(spark, sf_dir) -> DataFrame:
     return pages.select("page_id", tex.slugs(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("slug"))
 
 
-QUERIES = {f.__name__: f for f in (html_blocks, repaired_math, wrapped_math, tex_events, title_slugs)}
+QUERIES = {f.__name__: f for f in (html_blocks, repaired_math, wrapped_math, swapped_math, merged_math, tex_events, title_slugs)}

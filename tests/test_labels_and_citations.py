@@ -38,7 +38,7 @@ def test_citations(spark):
         ("c", 1, 0, None, "<p>EGA again <b title='EGA'>x</b></p>"),
         ("d", 0, 0, None, "<p>EGA elsewhere</p>"),
         ("d", 0, 1, "k", None),
-        ("d", 0, 2, None, "<p>Never mentioned (cité: SGA)</p>"),
+        ("d", 0, 2, None, "<p>Never mentioned (cité: QRS)</p>"),
     ]
     out = citations.wired(spark.createDataFrame(rows, "chapter_id string, page_idx int, block_idx int, id string, html string"))
     got = {(r.chapter_id, r.page_idx, r.block_idx): (r.id, r.html) for r in out.collect()}
@@ -49,7 +49,7 @@ def test_citations(spark):
     back = '<a class="bibref-back" data-bib="bib-EGA" href="#bib-EGA-cite-1" title="retour">↩</a>'
     assert got["c", 0, 1] == ("bib-EGA", f'<p><span class="bib-anchor" id="bib-EGA"></span>Elements {back}</p>')
     assert got["d", 0, 0] == (None, "<p>EGA elsewhere</p>") and got["d", 0, 1] == ("k", None)
-    assert got["d", 0, 2] == ("bib-SGA", '<p><span class="bib-anchor" id="bib-SGA"></span>Never mentioned</p>')
+    assert got["d", 0, 2] == ("bib-QRS", '<p><span class="bib-anchor" id="bib-QRS"></span>Never mentioned</p>')
     assert {r.key for r in citations.cited_keys(out).collect()} == {"bib-EGA", "bib-EGA-IV"}
 
 
