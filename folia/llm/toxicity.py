@@ -38,6 +38,8 @@ MOST_EXAMPLES, NEIGHBOURS, BLOCK, DOUBT, LEAST_COSINE = 1500, 16, 256, 0.25, 0.3
 CHANCE, REST = 15.0, 0.1
 #: Blocks that are looked at before the others' bounds are held against the k-th cosine.
 FIRST_BLOCKS = 2
+#: A term that more than one in OFTEN examples has is scored from a matrix instead of its postings.
+OFTEN = 3
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 CACHE_WORDS = 400_000
 SLICE_BYTES = 4 << 20
@@ -75,8 +77,15 @@ class Index:
         norm = np.sqrt(np.bincount(row, value * value, minlength=len(examples)))
         value = value / np.maximum(norm, 1e-300)[row]
         order = np.lexsort((row, term))
-        self.example, self.value, term = row[order].astype(np.int32), value[order], term[order]
+        self.example, self.value, term = row[order], value[order], term[order]
         self.blocks = -(-len(examples) // BLOCK)
+        # terms that a large part of the examples has: their weights once more, as a matrix for each block
+        often = np.flatnonzero(np.bincount(term, minlength=len(self.number)) * OFTEN > len(examples))
+        self.column = np.full(len(self.number), -1)
+        self.column[often] = np.arange(len(often))
+        self.matrix = np.zeros((self.blocks, len(often), BLOCK))
+        dense = self.column[term] >= 0
+        self.matrix[self.example[dense] // BLOCK, self.column[term[dense]], self.example[dense] % BLOCK] = self.value[dense]
         block = self.example // BLOCK
         entry = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])])) if len(term) else np.zeros(0, np.int64)
         self.block, self.postings = block[entry], np.append(entry, len(term))
@@ -99,8 +108,11 @@ class Index:
     def nearest(self, counts: dict[int, int], k: int = NEIGHBOURS, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k most similar examples from LEAST_COSINE on and their cosines, exactly; the example `but` isn't asked."""
         terms, query = self.vector(counts)
+        column = self.column[terms]
+        dense = np.zeros(self.matrix.shape[1])
+        dense[column[column >= 0]] = query[column >= 0]
         entry, n = spans(self.entries, terms)
-        block, query = self.block[entry], np.repeat(query, n)
+        block, query, rare = self.block[entry], np.repeat(query, n), np.repeat(column < 0, n)
         bounds = np.bincount(block, query * self.most[entry], minlength=self.blocks) + 1e-9
         order = np.argsort(-bounds, kind="stable")
         found, cosines = np.zeros(0, np.int64), np.zeros(0)
@@ -110,9 +122,11 @@ class Index:
             todo[some] = bounds[some] >= floor
             if not todo.any():
                 break
-            own = todo[block]
+            own = todo[block] & rare
             place, m = spans(self.postings, entry[own])
-            scores = np.bincount(self.example[place], np.repeat(query[own], m) * self.value[place], minlength=len(self.ids))
+            scores = np.bincount(self.example[place], np.repeat(query[own], m) * self.value[place], minlength=self.blocks * BLOCK).astype(float, copy=False)
+            for b in np.flatnonzero(todo).tolist():
+                scores[b * BLOCK : (b + 1) * BLOCK] += dense @ self.matrix[b]
             if but >= 0:
                 scores[but] = 0.0
             hit = np.flatnonzero(scores >= LEAST_COSINE)
