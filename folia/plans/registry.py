@@ -15,8 +15,6 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
 
 GLOSSARY = [("the", "le"), ("of", "de"), ("and", "et"), ("der", "le"), ("und", "et")]
-EN = ["the", "of", "and", "to", "in", "is", "that", "it", "for", "was", "with", "are"]
-FR = ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "est", "que"]
 #: Function words of the two languages.
 ENGLISH = "the a an and or of to in is are was were for with that this from by on as be it its may most any used using should".split()
 FRENCH = "le la les un une des du de et ou dans est sont pour avec que qui par sur comme ce cette ces on il elle nous soit être tout".split()
@@ -79,14 +77,6 @@ _list = lambda ws: ", ".join(f"'{w}'" for w in ws)
 TOKENS = "regexp_extract_all(lower(text), '([a-zà-ÿ]+)', 1)"
 
 
-@query(f"""WITH t AS (SELECT doc_id, {TOKENS} AS w FROM documents), c AS (SELECT doc_id, len(w) AS n, len(list_filter(w, lambda x: x IN ({_list(EN)}))) AS en, len(list_filter(w, lambda x: x IN ({_list(FR)}))) AS fr FROM t)
-SELECT doc_id, n::BIGINT AS n_words, en::BIGINT AS n_en, fr::BIGINT AS n_fr, n >= 5 AND en >= 3 AND en > 2 * fr AS already_english FROM c""")
-def already_english(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").withColumn("w", T.words("text"))
-    n, en, fr = F.size("w"), T.share_of(F.col("w"), EN), T.share_of(F.col("w"), FR)
-    return docs.select("doc_id", n.cast("long").alias("n_words"), en.cast("long").alias("n_en"), fr.cast("long").alias("n_fr"), ((n >= 5) & (en >= 3) & (en > 2 * fr)).alias("already_english"))
-
-
 @query(f"""WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '([a-zà-ÿ'']+)', 1) AS w FROM documents), c AS (SELECT doc_id, len(w) AS n, len(list_filter(w, lambda x: x IN ({_list(ENGLISH)}))) AS en, len(list_filter(w, lambda x: x IN ({_list(FRENCH)}))) AS fr FROM t)
 SELECT doc_id, n::BIGINT AS n_words, en::BIGINT AS n_en, fr::BIGINT AS n_fr, n >= 5 AND en >= 3 AND en > 2 * fr AS already_english FROM c""")
 def already_english_all_words(spark, sf_dir):
@@ -97,12 +87,12 @@ def already_english_all_words(spark, sf_dir):
 
 
 @query(f"""WITH t AS (SELECT doc_id, text, {TOKENS} AS w FROM documents), g AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))) AS g FROM t WHERE len(w) >= 4), m AS (SELECT doc_id, max(n) AS most FROM (SELECT doc_id, g, count(*) AS n FROM g GROUP BY 1, 2) GROUP BY 1)
-SELECT t.doc_id, coalesce(most, 0)::BIGINT AS most_repeated, length(text) > greatest(600, 4 * 500) OR (len(w) >= 30 AND coalesce(most, 0) >= 5) AS degenerate FROM t LEFT JOIN m USING (doc_id)""")
-def degenerate_translation(spark, sf_dir):
+SELECT t.doc_id, coalesce(most, 0)::BIGINT AS most_repeated FROM t LEFT JOIN m USING (doc_id)""")
+def most_repeated_ngram(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("w", T.words("text"))
     grams = docs.select("doc_id", F.explode(T.ngrams(F.col("w"), 4)).alias("g")).groupBy("doc_id", "g").count().groupBy("doc_id").agg(F.max("count").alias("most"))
     out = docs.join(grams, "doc_id", "left").withColumn("most", F.coalesce("most", F.lit(0)).cast("long"))
-    return out.select("doc_id", F.col("most").alias("most_repeated"), ((F.length("text") > F.greatest(F.lit(600), 4 * F.lit(500))) | ((F.size("w") >= 30) & (F.col("most") >= 5))).alias("degenerate"))
+    return out.select("doc_id", F.col("most").alias("most_repeated"))
 
 
 @query(r"""WITH t AS (SELECT doc_id, text, string_split(text, chr(10))[1] AS source, regexp_extract_all(lower(text), '([a-z'']+)', 1) AS w FROM documents), g AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))) AS g FROM t WHERE len(w) >= 30), m AS (SELECT doc_id, max(n) AS most FROM (SELECT doc_id, g, count(*) AS n FROM g GROUP BY 1, 2) GROUP BY 1)
