@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folia.functions import text as T
-from folia.operators import parse, repair, tex
+from folia.operators import parse, render, repair, tex
 
 
 def html_blocks(spark, sf_dir) -> DataFrame:
@@ -45,4 +45,18 @@ def title_slugs(spark, sf_dir) -> DataFrame:
     return pages.select("page_id", tex.slugs(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("slug"))
 
 
-QUERIES = {f.__name__: f for f in (html_blocks, repaired_math, wrapped_math, swapped_math, merged_math, tex_events, title_slugs)}
+def inline_html(spark, sf_dir) -> DataFrame:
+    """Each document as inline TeX."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.select("doc_id", F.md5(render.inline_html(F.col("text"))).alias("html_md5"))
+
+
+def tex_chapters(spark, sf_dir) -> DataFrame:
+    """Each document as a TeX source without labels: its blocks."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    none = spark.createDataFrame([], "entry string, key string, display string")
+    pages = render.rendered(docs, none, "doc_id", "text").select("source", "pos", F.posexplode("pages").alias("page", "p"))
+    return pages.select("source", "pos", "page", F.size("p.blocks").alias("n_blocks"), F.size("p.footnotes").alias("n_notes"), F.md5("p.html").alias("html_md5"))
+
+
+QUERIES = {f.__name__: f for f in (html_blocks, repaired_math, wrapped_math, swapped_math, merged_math, tex_events, title_slugs, inline_html, tex_chapters)}
