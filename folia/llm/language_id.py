@@ -14,6 +14,7 @@ language first in the alphabet. Repeated rows are each answered.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 
 from folia.llm.common import Cache, numbered, place, slices, text_buffers
 
-#: Rows of each language that the likelihoods are learnt from, and features kept of each.
-MOST_ROWS, MOST_FEATURES = 1500, 6000
+#: Rows of each language that the likelihoods are learnt from, and buckets that features are hashed into: none is left out, and the model's size is bounded.
+MOST_ROWS, BUCKETS = 1500, 1 << 18
 #: Weight of one word's evidence (words aren't independent), most text evidence counted, and log odds of a declaration and of an address.
 TEMPER, MOST_WORDS, DECLARED, ADDRESS = 0.5, 200, 2.0, 1.5
 #: Rows a prior counts for at each level, and the posterior a row needs.
@@ -32,6 +33,8 @@ SMOOTH, LEAST = 20.0, 0.6
 #: Languages that are told apart; more are refused.
 MOST_LANGUAGES = 256
 CACHE_WORDS = 300_000
+#: Languages whose sums a worker holds at once.
+HELD = 16
 SLICE_BYTES = 8 << 20
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -41,10 +44,16 @@ def features_of(word: str) -> list[str]:
     return [low, "$" + low[-2:], "^" + low[:2], *{"." + c for c in low if c > "\x7f"}]
 
 
+def buckets_of(word: str) -> tuple[int, ...]:
+    return tuple(zlib.crc32(f.encode("utf-8", "surrogatepass")) % BUCKETS for f in features_of(word))
+
+
 class Likelihoods:
-    def __init__(self, languages: list[str], features: list[str], logs: np.ndarray):
+    """Centred log shares of each language (rows) in each bucket that the sample has a feature in."""
+
+    def __init__(self, languages: list[str], buckets: list[int], logs: np.ndarray):
         self.languages, self.logs = languages, logs
-        self.number = {f: k for k, f in enumerate(features)}
+        self.number = dict(zip(buckets, range(len(buckets)), strict=True))
 
     def evidence(self, text: str, known: Cache) -> tuple[np.ndarray, int]:
         """Log likelihoods of each language, and how many features told them apart."""
@@ -53,11 +62,11 @@ class Likelihoods:
         known.room(len(words) if len(known) + len(words) > known.most else 0)
         for word in words:
             if (mine := known.get(word)) is None:
-                mine = known[word] = tuple(self.number[f] for f in features_of(word) if f in self.number)
+                mine = known[word] = tuple(self.number[b] for b in buckets_of(word) if b in self.number)
             found.extend(mine)
         if not found:
             return np.zeros(len(self.languages)), 0
-        total = self.logs[:, found].sum(axis=1)
+        total = self.logs[:, found].sum(axis=1, dtype=float)
         return TEMPER * total * min(1.0, MOST_WORDS / len(found)), len(found)
 
 
@@ -76,20 +85,35 @@ def fit(docs: DataFrame, language_column: str = "lang", text_column: str = "text
     ids = docs.sparkSession.createDataFrame(chosen.collect(), chosen.schema)  # at most `most` ids a language
     rows = docs.join(F.broadcast(ids.distinct()), id_column).where(F.col(language_column).isNotNull())
 
+    def sums(totals: dict[str, np.ndarray]):
+        for language, total in totals.items():
+            some = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array([language] * len(some), pa.string()), pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["language", "bucket", "n"])
+        totals.clear()
+
     def count(batches):
-        totals: dict[str, Counter] = {}
+        totals: dict[str, np.ndarray] = {}
+        known = Cache(CACHE_WORDS)
         for batch in batches:
-            for language, text in zip(batch.column(0), batch.column(1), strict=True):
-                totals.setdefault(language.as_py(), Counter()).update(f for w in WORD.findall(text.as_py() or "") for f in features_of(w))
-        for language, counter in totals.items():
-            yield pa.RecordBatch.from_arrays([pa.array([language] * len(counter)), pa.array(list(counter)), pa.array(list(counter.values()), pa.int64())], names=["language", "feature", "n"])
-
-    summed = rows.select(language_column, text_column).mapInArrow(count, "language string, feature string, n long").groupBy("feature").pivot("language", languages).agg(F.sum("n")).fillna(0)
-    total = sum((F.col(f"`{c}`") for c in languages), F.lit(0))
-    top = summed.orderBy(F.desc(total), "feature").limit(MOST_FEATURES * len(languages)).collect()
+            for language, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if language not in totals and len(totals) == HELD:
+                    yield from sums(totals)
+                if language not in totals:
+                    totals[language] = np.zeros(BUCKETS, np.int64)
+                total = totals[language]
+                for word, n in Counter(WORD.findall(text.as_py() or "")).items():
+                    known.room(1)
+                    if (mine := known.get(word)) is None:
+                        mine = known[word] = buckets_of(word)
+                    for bucket in mine:
+                        total[bucket] += n
+        yield from sums(totals)
+
+    summed = rows.select(language_column, text_column).mapInArrow(count, "language string, bucket long, n long").groupBy("bucket").pivot("language", languages).agg(F.sum("n")).fillna(0)
+    top = sorted(summed.collect())  # at most BUCKETS rows
     table = np.array([[r[c] for r in top] for c in languages], float).reshape(len(languages), -1)
     share = (table + 0.5) / (table.sum(axis=1, keepdims=True) + 0.5 * table.shape[1] + 1)
-    return Likelihoods(languages, [r["feature"] for r in top], np.log(share) - np.log(share).mean(axis=0))
+    return Likelihoods(languages, [r["bucket"] for r in top], (np.log(share) - np.log(share).mean(axis=0)).astype(np.float32))
 
 
 def domain_of(host: Column) -> Column:
@@ -121,7 +145,7 @@ def identify(rows: DataFrame, model: Likelihoods, least: float = LEAST) -> DataF
     The text is read twice, once for the hosts' sums and once for the answer; sums are merged in each task before they are shuffled, so a host with a third of the rows is as cheap as any."""
     languages = model.languages
     spark = rows.sparkSession
-    sent = spark.sparkContext.broadcast(model)  # at most MOST_FEATURES a language
+    sent = spark.sparkContext.broadcast(model)  # at most BUCKETS numbers a language
     width = len(languages)
 
     def read(batches):

@@ -140,6 +140,25 @@ def test_languages(docs):
     assert rows.where("language = lang").count() >= 0.98 * rows.count()
 
 
+def test_language_shares_against_their_definition(spark):
+    texts = [("fr", "le chat Été le"), ("en", "the cat the"), ("fr", None), ("en", "le"), (None, "zzz"), ("fr", "x1y"), *((f"l{k}", "mot") for k in range(20))]
+    rows = spark.createDataFrame([(k, t, c) for k, (c, t) in enumerate(texts)], "doc_id long, text string, lang string").repartition(2)
+    model = language_id.fit(rows)
+    assert model.languages == sorted({c for c, _ in texts if c})
+    counts = {c: Counter() for c in model.languages}
+    for c, t in texts:
+        if c and t:
+            counts[c].update(b for w in re.findall(r"[^\W\d_]+", t) for b in language_id.buckets_of(w))
+    every = sorted(set().union(*counts.values()))
+    assert list(model.number) == every
+    share = np.array([[math.log((counts[c][b] + 0.5) / (sum(counts[c].values()) + 0.5 * len(every) + 1)) for b in every] for c in model.languages])
+    assert np.allclose(model.logs, share - share.mean(axis=0), atol=1e-5)
+    logs, n = model.evidence("le chat inconnu", language_id.Cache(2))
+    assert n >= 6 and model.languages[int(logs.argmax())] == "fr" and model.evidence("", language_id.Cache(2))[1] == 0
+    none = language_id.fit(rows.where("lang is null"))
+    assert none.languages == ["und"] and none.evidence("le", language_id.Cache(2))[1] == 0
+
+
 def test_learnt_operators_hold_out(spark):
     from folia.llm import queries
 
