@@ -33,6 +33,8 @@ SMOOTH, LEAST = 20.0, 0.6
 #: Languages that are told apart; more are refused.
 MOST_LANGUAGES = 256
 CACHE_WORDS = 300_000
+#: Share of all rows, as one in HOT, above which a host is hot.
+HOT = 100
 #: Languages whose sums a worker holds at once.
 HELD = 16
 SLICE_BYTES = 8 << 20
@@ -142,7 +144,7 @@ def visible_text(html: Column) -> Column:
 def identify(rows: DataFrame, model: Likelihoods, least: float = LEAST) -> DataFrame:
     """For rows (key, text, host, declared, address): key, language, posterior, n_features, kept.
 
-    The text is read twice, once for the hosts' sums and once for the answer; sums are merged in each task before they are shuffled, so a host with a third of the rows is as cheap as any."""
+    The text is read once; sums are merged in each task before they are shuffled and a hot host's rows are spread, so a host with a third of the rows is as cheap as any."""
     languages = model.languages
     spark = rows.sparkSession
     sent = spark.sparkContext.broadcast(model)  # at most BUCKETS numbers a language
@@ -169,9 +171,11 @@ def identify(rows: DataFrame, model: Likelihoods, least: float = LEAST) -> DataF
         shifted = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
         return F.transform(shifted, lambda x: x / F.aggregate(shifted, F.lit(0.0), lambda a, b: a + b))
 
-    text_only = seen.where("n_features > 0").withColumn("p", posterior(F.col("logs")))
-    by_host = text_only.groupBy("host").agg(*[F.sum(F.get("p", F.lit(k))).alias(f"p{k}") for k in range(width)])
-    by_host = by_host.withColumn("domain", domain_of(F.col("host")))
+    read_rows = seen.withColumn("p", posterior(F.col("logs")))
+    told = F.col("n_features") > 0
+    sums = [F.coalesce(F.sum(F.when(told, F.get("p", F.lit(k)))), F.lit(0.0)).alias(f"p{k}") for k in range(width)]
+    counted = written(read_rows.groupBy("host").agg(*sums, F.count(F.lit(1)).alias("n_rows"), F.count(F.when(told, 1)).alias("n_told")), "hosts")
+    by_host = counted.where("n_told > 0").withColumn("domain", domain_of(F.col("host")))
     by_domain = by_host.groupBy("domain").agg(*[F.sum(f"p{k}").alias(f"d{k}") for k in range(width)])
     overall = by_domain.agg(*[F.coalesce(F.sum(f"d{k}"), F.lit(0.0)).alias(f"g{k}") for k in range(width)]).first()
     whole = sum(overall)
@@ -180,7 +184,14 @@ def identify(rows: DataFrame, model: Likelihoods, least: float = LEAST) -> DataF
     share = lambda prefix, k, above: (F.coalesce(F.col(f"{prefix}{k}"), F.lit(0.0)) + SMOOTH * above) / (sum_of(prefix) + SMOOTH)
     priors = by_host.join(by_domain, "domain").where(F.col("host").isNotNull())
     priors = priors.select("host", F.array(*[F.log(share("p", k, share("d", k, F.lit(top[k])))) for k in range(width)]).alias("prior"))
-    fused = seen.join(priors, "host", "left").withColumn("prior", F.coalesce("prior", F.array(*[F.log(F.lit(t)) for t in top])))
+    # hosts with more than a HOT-th of the rows, fewer than HOT of them, are broadcast; their rows and those without a host are spread over all tasks of the join with the others
+    most = counted.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0] / HOT
+    hot = counted.where(F.col("host").isNotNull() & (F.col("n_rows") > most)).select("host").join(priors, "host", "left").collect()
+    hot = spark.createDataFrame([(r["host"], r["prior"], True) for r in hot], "host string, hot_prior array<double>, hot boolean")
+    spread = F.when(F.col("hot") | F.col("host").isNull(), F.pmod(F.xxhash64("key", F.spark_partition_id()), F.lit(1 << 20))).otherwise(-1)
+    placed = seen.join(F.broadcast(hot), "host", "left").withColumn("spread", spread).withColumn("own", F.when(F.col("spread") < 0, F.col("host")).otherwise(""))
+    rest = priors.select(F.col("host").alias("own"), F.lit(-1).cast("long").alias("spread"), "prior")
+    fused = placed.join(rest, ["own", "spread"], "left").withColumn("prior", F.coalesce("hot_prior", "prior", F.array(*[F.log(F.lit(t)) for t in top])))
     total = F.array(*[F.get("logs", F.lit(k)) + F.get("prior", F.lit(k)) + F.when(F.col("declared") == language, DECLARED).otherwise(0.0) + F.when(F.col("address") == language, ADDRESS).otherwise(0.0) for k, language in enumerate(languages)])
     fused = fused.withColumn("p", total).withColumn("p", posterior(F.col("p")))
     best = F.array_max("p")
