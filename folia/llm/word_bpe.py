@@ -18,7 +18,8 @@ from folia.llm.common import Cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHE_WORDS = 1_000_000
+#: Words that the memo holds in its two generations, besides those of one call; half as many pieces of words are kept beside it. Most new words are seen once only, so a larger memo saves hardly any merges.
+CACHE_WORDS = 200_000
 #: The vocabulary's pattern for printable Latin-1 without numerals other than digits, and signs that end words (one match, as no letter follows).
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 SIGNS = b".,;:!?)]}\"'*%$&#-"
@@ -33,11 +34,12 @@ def tokenizer(file: str):
 
 
 class WordIds:
-    def __init__(self, file: str):
+    def __init__(self, file: str, most: int = CACHE_WORDS):
         self.tokenizer = tokenizer(file)
+        self.most = most
         self.merges = self.tokenizer.model.tokenize
         self.known, self.before = {}, {}  # words of this and of the last generation
-        self.pieces = Cache(CACHE_WORDS // 2)
+        self.pieces = Cache(most // 2)
         self.raw = [np.array([i], "<u4").tobytes() for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.letters = {b: letter for b, letter in enumerate(vocabulary.byte_letters()) if chr(b) != letter}
 
@@ -75,7 +77,7 @@ class WordIds:
     def packed(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [self.words(t) for t in texts]
-        if len(self.known) > CACHE_WORDS // 2:
+        if len(self.known) > self.most // 2:
             self.known, self.before = {}, self.known
         known, before = self.known, self.before
         new, long = [], []
@@ -92,8 +94,13 @@ class WordIds:
             del known[word]
         return out
 
+    def forget(self) -> None:
+        """Gives the memo's memory back: a worker outlives its tasks, and the tasks of other operators run in it."""
+        self.known, self.before = {}, {}
+        self.pieces.clear()
+
 
 @functools.lru_cache(2)
 def word_ids(file: str) -> WordIds:
-    """One for each worker, kept between tasks."""
+    """One for each worker, kept between tasks; its memo is emptied by forget()."""
     return WordIds(file)

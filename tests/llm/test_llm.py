@@ -7,11 +7,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from folia.llm import byte_bpe, language_id, minhash, ngram_model, ordinal_quality, packing, quality_rules, spot_signatures, token_count, toxicity, vocabulary
+from folia.llm import byte_bpe, language_id, minhash, ngram_model, ordinal_quality, packing, quality_rules, spot_signatures, token_count, toxicity, vocabulary, word_bpe
 
 DATA = "/root/testdata/sf0.001"
 ODD = [None, "", " ", "\n\n", "one", "It's we'll 'x '' !!", "é日本 ²½ ß", "a" * 5000, "x<|endoftext|>y", "the cat " * 40, "the cat " * 40]
@@ -66,6 +67,31 @@ def test_packing(odd, spark):
     assert packing.pack(odd.limit(0)).count() == 0
 
 
+def test_word_memo_is_bounded_and_given_back(spark):
+    file = vocabulary.path(vocabulary.WORD_BPE)
+    lib = token_count.tokenizer(file)
+    texts = [" ".join(f"w{k}x{i}" for i in range(50)) + " the same words, don't!" for k in range(12)]
+    want = [np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    coder = word_bpe.WordIds(file, most=100)
+    for t, ids in zip(texts, want, strict=True):
+        assert coder.packed([t]) == [ids] and len(coder.known) + len(coder.before) <= 3 * 60
+    coder.forget()
+    assert not coder.known and not coder.before and not coder.pieces and coder.packed(texts) == want
+    coder = word_bpe.WordIds(file)
+    for k in range(10):
+        coder.packed([" ".join(f"{k}q{i}" for i in range(60_000))])
+    assert len(coder.known) + len(coder.before) <= 400_000
+
+    def left(batches):
+        for batch in batches:
+            coder = word_bpe.word_ids(file)
+            yield pa.RecordBatch.from_arrays([pa.array([len(coder.known) + len(coder.before) + len(coder.pieces)] * len(batch))], names=["n"])
+
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    assert packing.pack(docs).count() == len(texts)
+    assert {r.n for r in spark.range(0, 16, 1, 8).mapInArrow(left, "n long").collect()} == {0}
+
+
 def brute_components(texts: dict) -> dict:
     sets = {}
     for k, t in texts.items():
